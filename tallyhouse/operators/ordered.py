@@ -65,7 +65,7 @@ def _number_large(df, partition, order, name):
     )
     start = F.col("_chunk") * size
     numbers = F.sequence(F.col("_first") + start + 1, F.col("_first") + F.least(start + size, F.col("_copies")))
-    return chunks.select(*df.columns, F.explode(numbers).cast("int").alias(name))
+    return chunks.select(*df.columns, F.explode(numbers).alias(name)).withColumn(name, F.col(name).cast("int"))
 
 
 def trailing_avg(df, keys, order, value, n=7, *, name="trailing_avg", total="trailing_sum", count="trailing_count"):

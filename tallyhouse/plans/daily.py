@@ -1,8 +1,10 @@
 """The daily build: Bronze snapshots to staged tables, Gold tables, gates and export."""
 
+from pyspark.sql import functions as F
+
 from tallyhouse.operators import staging
 from tallyhouse.plans import dimensions, facts, intermediate, quality
-from tallyhouse.schemas import GOLD_TABLES
+from tallyhouse.schemas import ARRIVAL, GOLD_TABLES
 from tallyhouse.sources import audit, bronze, gold
 
 
@@ -51,9 +53,10 @@ def build_gold(spark, tables, root):
     numbered and named once although four facts and two dimensions read them,
     and the dimensions' true sizes are known when the facts are planned.
     """
-    for name, df in silver_tables(tables).items():
+    staged = silver_tables(tables)
+    for name, df in staged.items():
         gold.write_table(df, root, name, "silver")
-    silver = {name: gold.read_table(spark, root, name, "silver") for name in silver_tables(tables)}
+    silver = {name: gold.read_table(spark, root, name, "silver") for name in staged}
     for name, df in dimension_tables(spark, silver).items():
         gold.write_table(df, root, name)
     dims = {name: gold.read_table(spark, root, name) for name in GOLD_TABLES if name.startswith("dim_")}
@@ -62,13 +65,27 @@ def build_gold(spark, tables, root):
     return silver, gold.read_gold(spark, root)
 
 
+def recent_bronze(spark, root):
+    """Bronze tables for a daily run, with POS lines and shifts pruned to the snapshots it can use.
+
+    Staging and the gates look at the newest snapshot of each, or at the older
+    of the two. Both dates come from the folder listing, so history is not read.
+    """
+    tables = bronze.read_all_bronze(spark, root)
+    pruned = ("bronze_pos_transactions", "bronze_staff_shifts")
+    newest = [bronze.latest_arrival(spark, bronze.dataset_path(root, name)) for name in pruned]
+    for name in pruned:
+        tables[name] = tables[name].where(F.col(ARRIVAL) >= F.lit(min(newest)))
+    return tables
+
+
 def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=None):
     """Gates before, build, gates after, export and run summary for one run date.
 
     A failing critical gate stops the run; the summary is written either way.
     """
     store = audit.gate_store(f"{lake_root}/quality-gate-results")
-    tables = bronze.read_all_bronze(spark, bronze_root) | {"product_name_mapping": mapping}
+    tables = recent_bronze(spark, bronze_root) | {"product_name_mapping": mapping}
     step = "quality_gates_pre"
     try:
         quality.run_gates(spark, tables, ["completeness", "integrity"], run_date=run_date, store=store)
