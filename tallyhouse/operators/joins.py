@@ -19,23 +19,27 @@ SALTS = 32
 def estimated_bytes(df):
     """Catalyst's size estimate of a plan, or None where the session does not expose it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # a remote session has no JVM handle
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except AttributeError:  # a remote session has no JVM handle
         return None
+    return int(plan.stats().sizeInBytes())
 
 
-def fits_broadcast(df, max_bytes=BROADCAST_BYTES, max_rows=BROADCAST_ROWS):
+def fits_broadcast(df, max_bytes=BROADCAST_BYTES, max_rows=BROADCAST_ROWS, *, count=True):
     """Whether a table may be broadcast.
 
-    The estimate is an upper guess: files are counted exactly, but an aggregate
-    is charged with its whole input. Where it is too high, count at most
-    `max_rows + 1` rows before giving the broadcast up: reading one reference
-    table is far cheaper than shuffling the facts.
+    The estimate is an upper guess: stored tables are measured exactly, but an
+    aggregate is charged with its whole input and a join with the product of
+    its sides. Where the estimate is too high, count at most `max_rows + 1`
+    rows before giving the broadcast up: reading one reference table is far
+    cheaper than shuffling the facts. `count=False` trusts the estimate.
     """
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes:
         return True
-    width = sum(field.dataType.typeName() == "string" and 40 or 12 for field in df.schema)
+    if not count:
+        return False
+    width = sum(40 if field.dataType.typeName() == "string" else 12 for field in df.schema)
     rows = min(max_rows, max_bytes // max(width, 1))
     return df.limit(rows + 1).count() <= rows
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.numbers import rounded_ratio
-from tallyhouse.operators.joins import lookup_join
+from tallyhouse.operators.joins import fits_broadcast, lookup_join
 
 MAX_GROUP_ROWS = 1_000_000
 COPIES_PER_TASK = 100_000
@@ -19,13 +19,16 @@ BANDS_PER_OCTAVE = 1024
 def number_lines(df, partition, order, *, name="transaction_line_number", max_group_rows=MAX_GROUP_ROWS):
     """Number rows 1..n inside each group by the order columns, NULLs last.
 
-    Rows equal on every order column are interchangeable. Groups above
-    `max_group_rows` are numbered from counts instead of one sorted task.
+    Rows equal on every order column are interchangeable. Group sizes are
+    counted first, in one narrow aggregate. Groups above `max_group_rows`, if
+    there are any, are numbered from counts instead of one sorted task.
     """
     over = Window.partitionBy(*partition).orderBy(*[F.asc_nulls_last(c) for c in order])
     sizes = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_rows"))
-    # At most rows / max_group_rows keys, so safe to broadcast at any scale.
     hot = sizes.where(F.col("_rows") > max_group_rows).select(*partition)
+    if hot.isEmpty():
+        return df.withColumn(name, F.row_number().over(over))
+    # At most rows / max_group_rows keys, so safe to broadcast at any scale.
     plain = lookup_join(df, hot, partition, "left_anti", null_safe=True, broadcast=True)
     large = lookup_join(df, hot, partition, "left_semi", null_safe=True, broadcast=True)
     return plain.withColumn(name, F.row_number().over(over)).unionByName(
@@ -135,4 +138,5 @@ def rank_by(df, value, *, name="rank"):
     ranked = lookup_join(counts, bands, ["_band"], "inner", broadcast=True).select(
         value, (F.lit(1) + F.col("_above") + F.coalesce(F.sum("_n").over(within), F.lit(0))).alias(name)
     )
-    return lookup_join(df, ranked, [value], "inner", null_safe=True)
+    small = fits_broadcast(ranked, count=False)
+    return lookup_join(df, ranked, [value], "inner", null_safe=True, broadcast=small)

@@ -16,31 +16,41 @@ def _date_and_store(day, dim_date, dim_store):
     ]
 
 
+SALES_FACT = [
+    "sales_key",
+    "transaction_id",
+    "transaction_line_number",
+    "date_key",
+    "store_key",
+    "product_key",
+    "transaction_qty",
+    "unit_price",
+    "gross_revenue",
+    "unit_cost",
+    "cogs_amount",
+    "gross_profit",
+    "gross_margin_pct",
+    "transaction_date",
+    "transaction_hour",
+    "cost_required",
+    "recipe_required",
+    "product_name_raw",
+    "product_name",
+]
+
+
 def build_fct_sales(sales, dim_date, dim_store, dim_product):
-    """One row per product line of a transaction."""
+    """One row per product line of a transaction.
+
+    From sales without line numbers the fact has no `sales_key` either: enough
+    for every measure, and it saves numbering the lines.
+    """
     lookups = _date_and_store("transaction_date", dim_date, dim_store)
     lookups.append((dim_product, {"product_name": "product_name"}, "product_key"))
-    return lookup_keys(sales, lookups).select(
-        surrogate_key("transaction_id", "transaction_line_number").alias("sales_key"),
-        "transaction_id",
-        "transaction_line_number",
-        "date_key",
-        "store_key",
-        "product_key",
-        "transaction_qty",
-        "unit_price",
-        "gross_revenue",
-        "unit_cost",
-        "cogs_amount",
-        "gross_profit",
-        "gross_margin_pct",
-        "transaction_date",
-        "transaction_hour",
-        "cost_required",
-        "recipe_required",
-        "product_name_raw",
-        "product_name",
-    )
+    fact = lookup_keys(sales, lookups)
+    if "transaction_line_number" in sales.columns:
+        fact = fact.withColumn("sales_key", surrogate_key("transaction_id", "transaction_line_number"))
+    return fact.select(*[c for c in SALES_FACT if c in fact.columns])
 
 
 def waste_measures(theoretical, inventory):

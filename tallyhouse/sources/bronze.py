@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyhouse.schemas import ARRIVAL, BRONZE, text_schema
-from tallyhouse.sources.files import exists, list_names
+from tallyhouse.sources.files import exists, hadoop_path, list_names
 
 INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 DATASETS = tuple(BRONZE)
@@ -172,13 +172,16 @@ def create_bronze_tables(spark, root, database):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, (_, columns, partitioned) in BRONZE.items():
         path = dataset_path(root, name)
-        if exists(spark, path):
+        if list_names(spark, path):
             with _text_partitions(spark):
                 columns = [c for c in spark.read.option("header", True).csv(path).columns if c != ARRIVAL]
+        else:
+            fs, folder = hadoop_path(spark, path)
+            fs.mkdirs(folder)
         fields = text_schema(columns).fields
         # Generated sets are stored below their arrival date even where the table is not snapshot-filtered.
-        partitioned = partitioned or bool(exists(spark, path) and arrivals(spark, root, name))
-        if partitioned:
+        if partitioned or arrivals(spark, root, name):
+            partitioned = True
             fields = [*fields, StructField(ARRIVAL, StringType())]
         ddl = ", ".join(f"`{f.name}` STRING" for f in StructType(fields).fields)
         by = f"PARTITIONED BY ({ARRIVAL})" if partitioned else ""

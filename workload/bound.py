@@ -2,10 +2,14 @@
 
 from functools import cached_property
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import ordered, staging
 from tallyhouse.plans import dimensions, facts, intermediate
+from tallyhouse.sources import gold
+from workload.scratch import scratch_folder
 from workload.views import VIEWS, references
 
 OPENING_STOCK = 900
@@ -16,14 +20,23 @@ class Bound:
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
+        self.tables = {}
 
     def table(self, name):
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self.tables:
+            self.tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.tables[name]
 
     def view(self, name):
         inputs = {n: getattr(self, n) if n in VIEWS else self.table(n) for n in set(references(VIEWS[name]))}
         return self.spark.sql(VIEWS[name], **inputs)
 
+    def stored(self, df, name):
+        """The table written to a new folder of the cluster's scratch space and read back."""
+        root = f"{scratch_folder(self.spark)}/{uuid.uuid4().hex}"
+        gold.write_table(df, root, name)
+        return gold.read_table(self.spark, root, name)
+
     b_pos = cached_property(lambda self: self.view("b_pos"))
     b_costs = cached_property(lambda self: self.view("b_costs"))
     b_bom = cached_property(lambda self: self.view("b_bom"))
@@ -69,19 +82,32 @@ class Bound:
     stg_shifts = cached_property(lambda self: staging.stage_shifts(self.b_shifts))
 
     int_sales = cached_property(lambda self: intermediate.sales_with_costs(self.stg_pos, self.stg_costs))
-    # Without line numbers, for reports that do not show them.
-    line_sales = cached_property(lambda self: intermediate.sales_with_costs(self.lines, self.stg_costs))
     theoretical = cached_property(lambda self: intermediate.theoretical_consumption(self.lines, self.stg_bom))
     labor = cached_property(lambda self: intermediate.labor_by_day(self.stg_shifts, self.lines))
 
     dim_date = cached_property(lambda self: dimensions.build_dim_date(self.spark))
-    dim_store = cached_property(lambda self: dimensions.build_dim_store(self.lines))
-    dim_product = cached_property(lambda self: dimensions.build_dim_product(self.lines, self.stg_costs))
+    # Dimensions drawn from the lines are stored before facts join them, as in the daily build:
+    # they are computed once, and their true size decides how they are joined.
+    dim_store = cached_property(lambda self: self.stored(dimensions.build_dim_store(self.lines), "dim_store"))
+    dim_product = cached_property(
+        lambda self: self.stored(dimensions.build_dim_product(self.lines, self.stg_costs), "dim_product")
+    )
     dim_ingredient = cached_property(lambda self: dimensions.build_dim_ingredient(self.stg_bom))
 
-    @cached_property
-    def fct_sales(self):
-        return facts.build_fct_sales(self.int_sales, self.dim_date, self.dim_store, self.dim_product)
+    # The sales fact reads the lines three times (fact, stores, products), so they are stored first.
+    silver_lines = cached_property(lambda self: self.stored(self.lines, "stg_pos_lines"))
+
+    def sales_fact(self, lines):
+        self.dim_store, self.dim_product = (
+            self.stored(dimensions.build_dim_store(self.silver_lines), "dim_store"),
+            self.stored(dimensions.build_dim_product(self.silver_lines, self.stg_costs), "dim_product"),
+        )
+        sales = intermediate.sales_with_costs(lines, self.stg_costs)
+        return facts.build_fct_sales(sales, self.dim_date, self.dim_store, self.dim_product)
+
+    fct_sales = cached_property(lambda self: self.sales_fact(staging.number_pos(self.silver_lines)))
+    # Without line numbers, for reports that do not show them.
+    sales_measures = cached_property(lambda self: self.sales_fact(self.silver_lines))
 
     @cached_property
     def fct_waste(self):
@@ -99,16 +125,21 @@ class Bound:
 
     @cached_property
     def gold(self):
-        return LazyGold(self)
+        """Gold tables for reports; none of them shows line numbers."""
+        return LazyGold(self, {"fct_sales": "sales_measures"})
+
+    @cached_property
+    def full_gold(self):
+        return LazyGold(self, {})
 
 
 class LazyGold(dict):
     """Gold tables by name, planned when asked for."""
 
-    def __init__(self, bound):
+    def __init__(self, bound, renamed):
         super().__init__()
-        self.bound = bound
+        self.bound, self.renamed = bound, renamed
 
     def __missing__(self, name):
-        self[name] = getattr(self.bound, name)
+        self[name] = getattr(self.bound, self.renamed.get(name, name))
         return self[name]

@@ -22,12 +22,12 @@ from workload.scratch import scratch_folder
 QUERIES = {}
 
 
-def query(name, oracle=None):
-    """Register a query; `oracle` is the body of its SQL."""
+def query(name, oracle=None, complete=False):
+    """Register a query; `oracle` is the body of its SQL, or all of it when `complete`."""
 
     def register(build):
         assert name not in QUERIES, name
-        QUERIES[name] = (build, None if oracle is None else sql(oracle))
+        QUERIES[name] = (build, oracle if oracle is None or complete else sql(oracle))
         return build
 
     return register
@@ -599,8 +599,10 @@ query("dim_01_date", "select d.* from dim_date d where full_date between (select
       "and (select max(transaction_date) from b_pos)")(
     lambda t: dimensions.calendar_of(covered_days(t.b_pos, "transaction_date"))
 )
-query("dim_02_store", "select * from dim_store")(lambda t: t.dim_store)
-query("dim_03_product", "select * from dim_product")(lambda t: t.dim_product)
+query("dim_02_store", "select * from dim_store")(lambda t: dimensions.build_dim_store(t.lines))
+query("dim_03_product", "select * from dim_product")(
+    lambda t: dimensions.build_dim_product(t.lines, t.stg_costs)
+)
 query("dim_04_ingredient", "select * from dim_ingredient")(lambda t: t.dim_ingredient)
 query("fct_01_sales", "select * from fct_sales")(lambda t: t.fct_sales)
 query("fct_02_waste", "select * from fct_waste")(lambda t: t.fct_waste)
@@ -713,7 +715,7 @@ def violations_sql(test):
 
 
 query("ct_all_gold_tests", " union all ".join(violations_sql(c) for c in constraints.GOLD_TESTS))(
-    lambda t: constraints.constraint_report(t.gold)
+    lambda t: constraints.constraint_report(t.full_gold)
 )
 
 # ---- diagnostics, reports ------------------------------------------------------------------------
@@ -900,7 +902,7 @@ fold as (
  cast(greatest(0, f.closing + case when f.closing < 350 then m.restock else 0 end - m.consumed) as decimal(12,1))
  from fold f join moves m on m.store_id = f.store_id and m.ingredient_name = f.ingredient_name and m.inventory_date = f.inventory_date + 1)
 select inventory_date, store_id, store_name, ingredient_name, opening opening_stock, received units_received, consumed actual_consumed,
- closing closing_stock from fold where inventory_date > date '2022-12-31'""")(
+ closing closing_stock from fold where inventory_date > date '2022-12-31'""", complete=True)(
     lambda t: generate.generate_daily_inventory(supplier_stores(t), INGREDIENTS)
 )
 query("gen_04_staff_shifts", f"""

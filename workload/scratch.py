@@ -3,12 +3,15 @@
 import tempfile
 
 SETTING = "spark.checkpoint.dir"
+OWN = {}
 
 
 def scratch_folder(spark):
-    """The shared folder the cluster names; where it names none (local runs), a new temporary one."""
+    """The shared folder the cluster names; where it names none (local runs), a new temporary one per application."""
     folder = spark.conf.get(SETTING, None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(SETTING, folder)
+        application = spark.sparkContext.applicationId
+        if application not in OWN:
+            OWN[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        folder = OWN[application]
     return folder.rstrip("/")

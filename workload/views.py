@@ -30,13 +30,13 @@ select p_name product_name, min(p_type) product_category,
 from {part} group by p_name having min(p_partkey) % 10 <> 0""",
     # Product x ingredient, about a third of the pairs.
     "b_bom": """
-select p.product_name, i.ingredient_name,
- cast(cast(10 + (p.k * 7 + i.i) % 90 as int) * cast(0.01 as decimal(3,2)) as decimal(10,4)) qty_required_per_unit,
- i.uom unit_of_measure, i.cost ingredient_cost_per_unit, date'2023-01-01' last_updated, '2023-06-15' ingestion_date
-from (select p_name product_name, min(p_partkey) k from {part} group by p_name) p
-join (select * from (values (0,'milk_ml','ml',cast(0.002 as decimal(10,6))),(1,'grounds_g','g',cast(0.015 as decimal(10,6))),
- (2,'syrup_ml','ml',cast(0.006 as decimal(10,6))),(3,'flour_g','g',cast(0.002 as decimal(10,6))),(4,'sugar_g','g',cast(0.001 as decimal(10,6)))) t(i,ingredient_name,uom,cost)) i
- on (p.k + i.i) % 3 = 0""",
+select product_name, case i when 0 then 'milk_ml' when 1 then 'grounds_g' when 2 then 'syrup_ml' when 3 then 'flour_g' else 'sugar_g' end ingredient_name,
+ cast(cast(10 + (k * 7 + i) % 90 as int) * cast(0.01 as decimal(3,2)) as decimal(10,4)) qty_required_per_unit,
+ case when i in (0, 2) then 'ml' else 'g' end unit_of_measure,
+ cast(case i when 0 then 0.002 when 1 then 0.015 when 2 then 0.006 when 3 then 0.002 else 0.001 end as decimal(10,6)) ingredient_cost_per_unit,
+ date'2023-01-01' last_updated, '2023-06-15' ingestion_date
+from (select p_name product_name, min(p_partkey) k, explode(sequence(0, 4)) i from {part} group by p_name) p
+where (k + i) % 3 = 0""",
     "b_movements": """
 select date_add(date'2023-01-01', cast(event_id % 181 as int)) inventory_date,
  case (event_id div 181) % 3 when 0 then 3 when 1 then 5 else 8 end store_id,
@@ -59,9 +59,11 @@ from {orders}""",
     "b_mapping": """
 select product_detail pos_product_detail, trim(regexp_replace(product_detail, ' +(Sm|Rg|Lg)$', '')) canonical_product_name,
  nullif(regexp_extract(product_detail, ' +(Sm|Rg|Lg)$', 1), '') size_code,
- min(product_id) % 7 <> 0 cost_required, min(product_id) % 5 <> 0 recipe_required,
- case when min(product_id) % 2 = 0 then 'beverage_prepared' else 'food_prepared' end product_group
-from {b_pos} where length(product_detail) % 3 <> 0 group by product_detail""",
+ k % 7 <> 0 cost_required, k % 5 <> 0 recipe_required,
+ case when k % 2 = 0 then 'beverage_prepared' else 'food_prepared' end product_group
+from (select p_name || case p_size % 4 when 0 then '' when 1 then ' Sm' when 2 then ' Rg' else ' Lg' end product_detail,
+ min(p_partkey) k from {part} group by 1) n
+where length(product_detail) % 3 <> 0""",
     # One promotion per product type.
     "b_promotions": """
 select 'PROMO_' || p_type promotion_id, ' Deal on ' || p_type || ' ' promotion_name,
@@ -80,5 +82,5 @@ def references(text):
 def duckdb_text(text):
     """The view text in DuckDB's dialect."""
     text = re.sub(r"\{(\w+)\}", r"\1", text)
-    text = text.replace(" string)", " varchar)").replace(" div ", " // ")
+    text = text.replace(" string)", " varchar)").replace(" div ", " // ").replace("explode(sequence(0, 4))", "unnest(range(0, 5))")
     return re.sub(r"date_add\(date'2023-01-01', (cast\(.*? as int\))\)", r"(date '2023-01-01' + \1)", text)
