@@ -1,9 +1,11 @@
 """Join shapes: lookups into reference tables, validity ranges, recipes, missing rows.
 
 Reference tables (costs, recipes, mapping, dimensions) are usually small, but
-nothing promises it. A lookup is broadcast only after its size was checked;
-beyond the limit the facts are salted and shuffled, so that a product or store
-holding a third of all rows is spread over many tasks.
+nothing promises it. A lookup is broadcast only after its size was checked.
+Beyond the limit both sides are shuffled: with a salt while copying the table
+once per salt is cheap, so that a product or store holding a third of all rows
+is spread over many tasks; for still larger tables without, where the adaptive
+planner splits the skewed partitions it meets.
 """
 
 from functools import reduce
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 500_000
 SALTS = 32
+SALTED_BYTES = 4 * 1024 * 1024 * 1024
 
 
 def estimated_bytes(df):
@@ -61,9 +64,10 @@ def lookup_join(facts, table, keys, how="left", *, within=None, null_safe=False,
     ]
     if within is not None:
         conditions.append(within)
+    size = estimated_bytes(right)
     if broadcast:
         right = F.broadcast(right)
-    else:
+    elif size is not None and size <= SALTED_BYTES:
         # The salt is a function of the row, so a retried task assigns it again alike.
         facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
         right = right.withColumn("_salt_ref", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

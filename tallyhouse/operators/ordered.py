@@ -1,8 +1,9 @@
 """Order-dependent operators: numbering, trailing means, roll-forward, growth, ranks.
 
 A window sends each group to one task. Where a group has no natural bound
-(lines of one transaction id, all products) the operator splits it; where the
-calendar bounds it (days of one ingredient in one store, months) it does not.
+(lines of one transaction id, records of one series, all products) the operator
+splits it; where the calendar bounds it (daily sums of one series, months) it
+does not.
 """
 
 from pyspark.sql import Window
@@ -13,27 +14,35 @@ from tallyhouse.operators.joins import fits_broadcast, lookup_join
 
 MAX_GROUP_ROWS = 1_000_000
 COPIES_PER_TASK = 100_000
+BLOCK_ROWS = 100_000
 BANDS_PER_OCTAVE = 1024
 
 
+def split_large_groups(df, keys, max_group_rows=MAX_GROUP_ROWS):
+    """Rows of ordinary groups and rows of groups above the limit; the second is None if there are none.
+
+    Group sizes come from one narrow aggregate. At most rows / max_group_rows
+    keys are large, so they are safe to broadcast at any scale.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = sizes.where(F.col("_rows") > max_group_rows).select(*keys)
+    if large.isEmpty():
+        return df, None
+    return tuple(lookup_join(df, large, keys, how, null_safe=True, broadcast=True) for how in ("left_anti", "left_semi"))
+
+
 def number_lines(df, partition, order, *, name="transaction_line_number", max_group_rows=MAX_GROUP_ROWS):
     """Number rows 1..n inside each group by the order columns, NULLs last.
 
-    Rows equal on every order column are interchangeable. Group sizes are
-    counted first, in one narrow aggregate. Groups above `max_group_rows`, if
-    there are any, are numbered from counts instead of one sorted task.
+    Rows equal on every order column are interchangeable. Groups above
+    `max_group_rows` are numbered from counts instead of one sorted task.
     """
+    plain, large = split_large_groups(df, partition, max_group_rows)
     over = Window.partitionBy(*partition).orderBy(*[F.asc_nulls_last(c) for c in order])
-    sizes = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > max_group_rows).select(*partition)
-    if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(over))
-    # At most rows / max_group_rows keys, so safe to broadcast at any scale.
-    plain = lookup_join(df, hot, partition, "left_anti", null_safe=True, broadcast=True)
-    large = lookup_join(df, hot, partition, "left_semi", null_safe=True, broadcast=True)
-    return plain.withColumn(name, F.row_number().over(over)).unionByName(
-        _number_large(large, partition, order, name)
-    )
+    plain = plain.withColumn(name, F.row_number().over(over).cast("bigint"))
+    if large is not None:
+        plain = plain.unionByName(_number_large(large, partition, order, name))
+    return plain
 
 
 def _number_large(df, partition, order, name):
@@ -68,18 +77,32 @@ def _number_large(df, partition, order, name):
     )
     start = F.col("_chunk") * size
     numbers = F.sequence(F.col("_first") + start + 1, F.col("_first") + F.least(start + size, F.col("_copies")))
-    return chunks.select(*df.columns, F.explode(numbers).alias(name)).withColumn(name, F.col(name).cast("int"))
+    return chunks.select(*df.columns, F.explode(numbers).alias(name))
 
 
-def trailing_avg(df, keys, order, value, n=7, *, name="trailing_avg", total="trailing_sum", count="trailing_count"):
+def trailing_avg(df, keys, order, value, n=7, *, name="trailing_avg", total="trailing_sum", count="trailing_count",
+                 max_group_rows=MAX_GROUP_ROWS):
     """Mean of the last `n` records (not days) of each series, with its exact sum and count.
 
-    One record per key and day makes a series at most as long as the calendar.
+    Series above `max_group_rows` are cut into blocks of numbered records. Each
+    block also gets the last n - 1 records before it, so its means are complete.
     """
-    over = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(n - 1), 0)
-    return df.withColumns({total: F.sum(value).over(over), count: F.count(value).over(over)}).withColumn(
-        name, rounded_ratio(total, count, 6)
-    )
+    plain, large = split_large_groups(df, keys, max_group_rows)
+
+    def means(rows, groups, by):
+        over = Window.partitionBy(*groups).orderBy(by).rowsBetween(-(n - 1), 0)
+        return rows.withColumns({total: F.sum(value).over(over), count: F.count(value).over(over)})
+
+    out = means(plain, keys, order)
+    if large is not None:
+        numbered = number_lines(large, keys, [order], name="_n", max_group_rows=max_group_rows)
+        block = F.floor((F.col("_n") - 1) / BLOCK_ROWS)
+        own = numbered.withColumns({"_block": block, "_own": F.lit(True)})
+        tail = own.where(F.pmod(F.col("_n") - 1, F.lit(BLOCK_ROWS)) >= BLOCK_ROWS - (n - 1))
+        blocks = own.unionByName(tail.withColumns({"_block": F.col("_block") + 1, "_own": F.lit(False)}))
+        split = means(blocks, [*keys, "_block"], "_n").where("_own").drop("_n", "_block", "_own")
+        out = out.unionByName(split)
+    return out.withColumn(name, rounded_ratio(total, count, 6))
 
 
 def roll_forward(df, keys, order, opening, received, consumed, *, names=("opening_stock", "closing_stock")):

@@ -95,6 +95,13 @@ def test_salted_lookup_equals_broadcast_lookup(rows, how, null_safe):
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
 
 
+def test_lookup_into_a_table_too_large_to_copy(rows, monkeypatch):
+    monkeypatch.setattr(joins, "SALTED_BYTES", 0)
+    facts, table = rows([("a", 1), ("b", 2)], "k string, i int"), rows([("a", 5)], "k string, v int")
+    out = joins.lookup_join(facts, table, ["k"], broadcast=False)
+    assert as_set(out) == {("a", 1, 5), ("b", 2, None)}
+
+
 def test_fits_broadcast_checks_the_size(rows, spark):
     assert joins.fits_broadcast(rows([(1,)], "a int"))
     wide = spark.range(10_000).select("id", F.repeat(F.lit("x"), 100).alias("t"))
@@ -152,6 +159,19 @@ def test_trailing_mean_counts_records_not_days(rows):
     assert got[DAY(2023, 1, 21)] == 5  # 2..8
 
 
+@pytest.mark.parametrize("block", [1_000, 10, 7])
+def test_trailing_mean_of_long_series_equals_plain(rows, monkeypatch, block):
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", block)
+    rng = random.Random(2)
+    start = DAY(2023, 1, 1)
+    data = [(k, start + dt.timedelta(days=2 * i), D(rng.randrange(100))) for k in (1, 2) for i in range(45 if k == 1 else 4)]
+    df = rows(data, "k int, day date, v decimal(12,2)")
+    plain = ordered.trailing_avg(df, ["k"], "day", "v")
+    split = ordered.trailing_avg(df, ["k"], "day", "v", max_group_rows=5)
+    assert split.columns == plain.columns
+    assert as_set(split) == as_set(plain) and split.count() == 49
+
+
 def test_roll_forward_equals_the_fold(rows):
     rng = random.Random(5)
     data = [

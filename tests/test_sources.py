@@ -11,12 +11,6 @@ from tallyhouse import schemas
 from tallyhouse.plans import daily, generate, quality
 from tallyhouse.sources import audit, bronze, gold, landing, seeds
 
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().explainString(df._sc._jvm.PythonSQLUtils.toExplainMode("formatted"))
-
-
 HEADER = "Transaction ID, transaction_date,transaction_time,transaction_qty,store_id,Store Location ,product_id,unit_price,product_category,product_type,product_detail"
 MENU = ["Latte Lg", "Croissant", "Earl Grey Lg", "Civet Cat", "I Need My Bean! T-shirt", "Espresso shot"]
 
@@ -74,7 +68,7 @@ def test_rejected_file_is_not_landed(spark, tmp_path):
     assert not (tmp_path / "lake").exists()
 
 
-def test_rerun_replaces_its_own_arrival_only(spark, rows, tmp_path):
+def test_rerun_replaces_its_own_arrival_only(spark, rows, tmp_path, capsys):
     root, name = str(tmp_path), "bronze_recipes_bom"
     make = lambda tag: rows([(tag, "milk", "1", "ml", "0.1", "2023-01-01")], ", ".join(f"{c} string" for c in schemas.BOM))
     for date, tag in (("2023-06-14", "a"), ("2023-06-15", "b"), ("2023-06-15", "c")):
@@ -85,7 +79,8 @@ def test_rerun_replaces_its_own_arrival_only(spark, rows, tmp_path):
     assert bronze.latest_arrival(spark, bronze.dataset_path(root, name)) == "2023-06-15"
     latest = bronze.read_bronze(spark, root, name, latest=True)
     assert as_set(latest, "product_name") == {("c",)}
-    assert re.search(r"PartitionFilters: \[.*ingestion_date#\d+ = 2023-06-15", plan_of(latest))
+    latest.explain("formatted")
+    assert re.search(r"PartitionFilters: \[.*ingestion_date#\d+ = 2023-06-15", capsys.readouterr().out)
     assert bronze.arrivals(spark, root, name) == ["2023-06-14", "2023-06-15"]
 
 
