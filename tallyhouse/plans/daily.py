@@ -51,7 +51,8 @@ def build_gold(spark, tables, root):
 
     Each stored layer ends the lineage of the next: POS lines are parsed,
     numbered and named once although four facts and two dimensions read them,
-    and the dimensions' true sizes are known when the facts are planned.
+    and the dimensions' true sizes are known when the facts are planned. Facts
+    are partitioned by day, so reports on a date range read only its folders.
     """
     staged = silver_tables(tables)
     for name, df in staged.items():
@@ -61,7 +62,7 @@ def build_gold(spark, tables, root):
         gold.write_table(df, root, name)
     dims = {name: gold.read_table(spark, root, name) for name in GOLD_TABLES if name.startswith("dim_")}
     for name, df in fact_tables(silver, dims).items():
-        gold.write_table(df, root, name)
+        gold.write_table(df, root, name, partition_by=["date_key"])
     return silver, gold.read_gold(spark, root)
 
 
@@ -88,6 +89,9 @@ def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=Non
     tables = recent_bronze(spark, bronze_root) | {"product_name_mapping": mapping}
     step = "quality_gates_pre"
     try:
+        profile = quality.pos_profile(tables["bronze_pos_transactions"])
+        gold.write_table(profile, lake_root, "pos_profile", "silver")
+        tables["pos_profile"] = gold.read_table(spark, lake_root, "pos_profile", "silver")
         quality.run_gates(spark, tables, ["completeness", "integrity"], run_date=run_date, store=store)
         step = "build"
         silver, tables_out = build_gold(spark, tables, lake_root)

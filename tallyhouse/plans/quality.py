@@ -14,11 +14,42 @@ from tallyhouse.schemas import ARRIVAL
 CRITICAL, WARNING, INFO = "CRITICAL", "WARNING", "INFO"
 
 
+PROFILE_KEYS = (ARRIVAL, "store_id", "store_location", "product_detail")
+VALUE_FIELDS = ("unit_price", "transaction_qty")
+
+
+def _profile_columns(merge):
+    """Line counts and the bad values of each field, from lines or merged from a finer profile."""
+    columns = [F.sum("n_lines").alias("n_lines") if merge else F.count(F.lit(1)).alias("n_lines")]
+    for field in VALUE_FIELDS:
+        value = F.col(field).cast("double") if not merge else None
+        bad = None if merge else F.when(value <= 0, value)
+        columns += [
+            F.sum(f"{field}_bad").alias(f"{field}_bad") if merge else F.count(bad).alias(f"{field}_bad"),
+            F.min(f"{field}_min").alias(f"{field}_min") if merge else F.min(bad).alias(f"{field}_min"),
+        ]
+    return columns
+
+
+def pos_profile(pos):
+    """The newest POS snapshot counted per store and product: all that five gates need of it.
+
+    Stored once and passed as `tables["pos_profile"]`, it saves each gate its own pass over the lines.
+    """
+    return latest_snapshot(pos).groupBy(*PROFILE_KEYS).agg(*_profile_columns(merge=False))
+
+
+def _pos_counts(tables, *keys):
+    """The newest POS snapshot counted by some of the profile's keys."""
+    if "pos_profile" in tables:
+        return tables["pos_profile"].groupBy(*keys).agg(*_profile_columns(merge=True))
+    return latest_snapshot(tables["bronze_pos_transactions"]).groupBy(*keys).agg(*_profile_columns(merge=False))
+
+
 def gate_row_count(tables, *, min_rows=300, min_stores=3):
     """Too few rows or stores in the newest POS snapshot. An empty table gives no row."""
-    latest = latest_snapshot(tables["bronze_pos_transactions"])
-    counts = latest.groupBy(ARRIVAL).agg(
-        F.count(F.lit(1)).alias("row_count"), F.countDistinct("store_id").alias("store_count")
+    counts = _pos_counts(tables, ARRIVAL, "store_id").groupBy(ARRIVAL).agg(
+        F.sum("n_lines").alias("row_count"), F.count("store_id").alias("store_count")
     )
     status = (
         F.when(F.col("row_count") < min_rows, f"CRITICAL: row count below threshold (min {min_rows})")
@@ -62,44 +93,36 @@ def gate_negative_values(tables):
 
     Both fields come from one pass; each bad field becomes a row.
     """
-    latest = latest_snapshot(tables["bronze_pos_transactions"])
-    fields = ("unit_price", "transaction_qty")
-    totals = []
-    for field in fields:
-        value = F.col(field).cast("double")
-        bad = F.when(value <= 0, value)
-        totals += [F.count(bad).alias(f"{field}_n"), F.min(bad).alias(f"{field}_min")]
     rows = F.explode(
         F.array(
             *[
                 F.struct(
                     F.lit(field).alias("field_name"),
-                    F.col(f"{field}_n").alias("invalid_count"),
+                    F.col(f"{field}_bad").alias("invalid_count"),
                     F.col(f"{field}_min").alias("min_value"),
                     F.lit(f"CRITICAL: negative or zero {field} found").alias("status"),
                 )
-                for field in fields
+                for field in VALUE_FIELDS
             ]
         )
     ).alias("v")
-    return latest.agg(*totals).select(rows).select("v.*").where("invalid_count > 0")
+    return _pos_counts(tables).select(rows).select("v.*").where("invalid_count > 0")
 
 
 def gate_known_stores(tables, *, stores=tuple(s[0] for s in fixed.STORES)):
     """Store ids outside the list; a NULL id is not reported."""
-    latest = latest_snapshot(tables["bronze_pos_transactions"])
-    unknown = latest.where(~F.col("store_id").cast("int").isin(*stores))
-    return (
-        unknown.groupBy("store_id", "store_location")
-        .agg(F.count(F.lit(1)).alias("transaction_count"))
-        .withColumn("status", F.lit("WARNING: unknown store_id"))
+    counts = _pos_counts(tables, "store_id", "store_location")
+    return counts.where(~F.col("store_id").cast("int").isin(*stores)).select(
+        "store_id",
+        "store_location",
+        F.col("n_lines").alias("transaction_count"),
+        F.lit("WARNING: unknown store_id").alias("status"),
     )
 
 
 def gate_cost_coverage(tables):
     """Products that need a cost but have no mapping, or whose mapped name has no cost."""
-    latest = latest_snapshot(tables["bronze_pos_transactions"])
-    sold = latest.groupBy("product_detail").agg(F.count(F.lit(1)).alias("transactions_today"))
+    sold = _pos_counts(tables, "product_detail").select("product_detail", F.col("n_lines").alias("transactions_today"))
     mapping = tables["product_name_mapping"].select(
         F.trim("pos_product_detail").alias("_name"),
         F.trim("canonical_product_name").alias("_canonical"),
@@ -197,9 +220,9 @@ def gate_labor_ratio(tables, *, max_pct=60):
 
 def silver_retention(tables):
     """Rows of the newest POS snapshot before and after staging."""
-    bronze, silver = tables["bronze_pos_transactions"], tables["stg_pos_transactions"]
-    newest = bronze.select(F.max(ARRIVAL)).scalar()
-    before = bronze.where(F.col(ARRIVAL) == newest).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    silver = tables["stg_pos_transactions"]
+    newest = tables.get("pos_profile", tables["bronze_pos_transactions"]).select(F.max(ARRIVAL)).scalar()
+    before = _pos_counts(tables).select(F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("bronze_rows"))
     after = silver.where(F.col(ARRIVAL) == newest).agg(F.count(F.lit(1)).alias("silver_rows"))
     return before.crossJoin(F.broadcast(after)).withColumn("pct_retained", percent("silver_rows", "bronze_rows"))
 

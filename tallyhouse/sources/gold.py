@@ -15,7 +15,14 @@ def table_path(root, table, schema="gold"):
 
 
 def write_table(df, root, table, schema="gold", partition_by=()):
-    """Replace one table."""
+    """Replace one table.
+
+    Partitioned tables are rebalanced on the partition columns first: small
+    partitions get one file instead of one per task, and the adaptive planner
+    splits large ones over several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(table_path(root, table, schema))
 
 

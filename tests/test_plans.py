@@ -129,6 +129,19 @@ def test_value_gate(rows):
     assert quality.gate_negative_values({"bronze_pos_transactions": good}).count() == 0
 
 
+def test_gates_agree_on_lines_and_on_their_profile(rows):
+    pos = pos_rows(rows, 5, (3, 9)).unionByName(pos_rows(rows, 3, qty="-1", price="0")).unionByName(pos_rows(rows, 2, date="2023-06-01"))
+    mapping = rows([], "pos_product_detail string, canonical_product_name string, cost_required string")
+    tables = {"bronze_pos_transactions": pos, "product_name_mapping": mapping, "bronze_product_costs": rows([], "product_name string"),
+              "stg_pos_transactions": pos_rows(rows, 2)}
+    profiled = tables | {"pos_profile": quality.pos_profile(pos)}
+    assert quality.pos_profile(pos).agg(F.sum("n_lines")).first()[0] == 8
+    for gate in (quality.gate_row_count, quality.gate_negative_values, quality.gate_known_stores, quality.gate_cost_coverage,
+                 quality.gate_silver_parity):
+        found = as_set(gate(tables))
+        assert found and found == as_set(gate(profiled))
+
+
 def test_store_gate_ignores_null(rows):
     df = pos_rows(rows, 2, (3, 9)).unionByName(pos_rows(rows, 1).withColumn("store_id", F.lit(None).cast("string")))
     assert as_list(quality.gate_known_stores({"bronze_pos_transactions": df}), "store_id") == [("9",)]
