@@ -14,10 +14,16 @@ def con():
     return connect(SF_DIR)
 
 
+@pytest.fixture(scope="module")
+def bound(spark):
+    """One set of tables for all queries, so that stored dimensions are computed once."""
+    return Bound(spark, SF_DIR)
+
+
 @pytest.mark.parametrize("name", QUERIES)
-def test_query_matches_sql(spark, con, name):
+def test_query_matches_sql(bound, con, name):
     build, oracle = QUERIES[name]
-    df = build(Bound(spark, SF_DIR))
+    df = build(bound)
     if oracle is None:
         assert df.count() > 0
     else:
