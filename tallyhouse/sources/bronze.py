@@ -200,9 +200,3 @@ def repair_partitions(spark, database, tables=DATASETS):
             spark.sql(f"MSCK REPAIR TABLE {table}")
             repaired.append(name)
     return repaired
-
-
-def with_lineage(df):
-    """Rows with the file they came from and the time they were read, for tables read from files."""
-    return df.withColumns({"source_file": F.col("_metadata.file_name"), "ingestion_timestamp": F.current_timestamp()})
-

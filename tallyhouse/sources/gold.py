@@ -73,10 +73,3 @@ def export_snapshot(gold, target, *, snapshot_id=None, tables=GOLD_TABLES):
     out.write(bytearray(json.dumps(manifest, indent=2).encode()))
     out.close()
     return manifest
-
-
-def manifest_rows(gold, tables=GOLD_TABLES):
-    """Row count per table as the manifest lists it."""
-    from tallyhouse.sources.bronze import row_counts
-
-    return row_counts({table: gold[table] for table in tables}).withColumnRenamed("n_rows", "rows")

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_DIR
+from tallyhouse.operators import joins
 from workload.bound import Bound
 from workload.catalog import QUERIES
 from workload.compare import connect, differences
@@ -30,6 +31,21 @@ def test_query_matches_sql(bound, con, name):
         assert differences(df, con, oracle) == []
 
 
+@pytest.mark.parametrize("name", ["stg_05_canonical_names", "jn_02_validity_join", "fct_02_waste", "dg_03_mapping_backlog"])
+def test_queries_hold_when_no_table_may_be_broadcast(spark, con, name, monkeypatch):
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        build, oracle = QUERIES[name]
+        df = build(Bound(spark, SF_DIR))
+        assert differences(df, con, oracle) == []
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "CartesianProduct" not in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).columns == [
