@@ -75,7 +75,9 @@ class Bound:
         }
 
     lines = cached_property(lambda self: staging.stage_pos_lines(self.b_pos, self.b_mapping))
-    stg_pos = cached_property(lambda self: staging.number_pos(self.lines))
+    # Numbering looks for large transactions first, so it reads the lines twice: store them once.
+    silver_lines = cached_property(lambda self: self.stored(self.lines, "stg_pos_lines"))
+    stg_pos = cached_property(lambda self: staging.number_pos(self.silver_lines))
     stg_costs = cached_property(lambda self: staging.stage_costs(self.b_costs))
     stg_bom = cached_property(lambda self: staging.stage_bom(self.b_bom))
     stg_inventory = cached_property(lambda self: staging.stage_inventory(self.b_inventory))
@@ -94,10 +96,8 @@ class Bound:
     )
     dim_ingredient = cached_property(lambda self: dimensions.build_dim_ingredient(self.stg_bom))
 
-    # The sales fact reads the lines three times (fact, stores, products), so they are stored first.
-    silver_lines = cached_property(lambda self: self.stored(self.lines, "stg_pos_lines"))
-
     def sales_fact(self, lines):
+        """The sales fact; stores and products read the stored lines too."""
         self.dim_store, self.dim_product = (
             self.stored(dimensions.build_dim_store(self.silver_lines), "dim_store"),
             self.stored(dimensions.build_dim_product(self.silver_lines, self.stg_costs), "dim_product"),
@@ -105,7 +105,7 @@ class Bound:
         sales = intermediate.sales_with_costs(lines, self.stg_costs)
         return facts.build_fct_sales(sales, self.dim_date, self.dim_store, self.dim_product)
 
-    fct_sales = cached_property(lambda self: self.sales_fact(staging.number_pos(self.silver_lines)))
+    fct_sales = cached_property(lambda self: self.sales_fact(self.stg_pos))
     # Without line numbers, for reports that do not show them.
     sales_measures = cached_property(lambda self: self.sales_fact(self.silver_lines))
 
