@@ -209,9 +209,10 @@ def pair_up(entries, percent=PERCENT):
         crowd = pd.DataFrame({
             "a_sig": sign[members], "a_n": size[members], "gram": gram[members].view(np.int64), "place": place[members],
         })
-        return pd.concat([pairs, crowd]).astype(
-            {"a_sig": "Int64", "a_n": "Int64", "b_sig": "Int64", "b_n": "Int64", "gram": "Int64", "place": "Int64"}
-        )[["a_sig", "a_n", "b_sig", "b_n", "gram", "place"]]
+        # Absent values must not turn 64-bit numbers into floats.
+        columns = ["a_sig", "a_n", "b_sig", "b_n", "gram", "place"]
+        whole = [frame.astype("Int64").reindex(columns=columns).astype("Int64") for frame in (pairs, crowd)]
+        return pd.concat(whole)
 
     return entries.groupBy("bucket").applyInPandas(in_bucket, f"{PAIR}, gram long, place long")
 
