@@ -15,7 +15,7 @@ ROOT = Path(__file__).resolve().parents[2]
 SETTING = "spark.checkpoint.dir"
 
 # Words whose hash a Python worker remembers; beyond it the memory starts anew.
-REMEMBERED_WORDS = 1 << 19
+REMEMBERED_WORDS = 1 << 18
 
 _OWN_FOLDERS = {}
 _SHIPPED = set()
@@ -112,7 +112,7 @@ def slices_of(table):
 
 
 def merged_sketch(rows, width, dtype, merge, finish=None):
-    """Merge slices of all partitions on the executors, one slice at a time as its rows stream by.
+    """Merge slices of all partitions on the executors, a row at a time as they stream by.
 
     The result has `width` cells whatever the input, so it may be collected and sent to all tasks. `merge` adds the
     second array to the first; `finish` turns a merged slice into the array that is kept.

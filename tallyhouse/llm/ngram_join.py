@@ -6,9 +6,9 @@ Exact: two documents link when `100 * |x & y| >= percent * |x | y|` for their se
 2. A second scan orders each set rare first (by the merged sketch, then by hash: one order for all) and gives out the
    prefix, which must meet the prefix of any partner. Entries travel as blocks per bucket of the hash.
 3. In a bucket, entries of one n-gram pair up if lengths and positions still allow the wanted overlap. Where more than
-   `SMALL` sets share an n-gram, only pairs with one pivot come out first, as the others mostly fall into one group
-   by way of the pivot; what stays apart afterwards is paired in further rounds, and at last pair by pair. No pair
-   that could link two groups is left out.
+   `SMALL` sets share an n-gram, only pairs with one pivot come out first: the set with the fewest rarer n-grams, that
+   is, the least changed of a group of copies, by way of which the others mostly fall into one group. What stays apart
+   afterwards is paired in further turns, and at last pair by pair. No pair that could link two groups is left out.
 4. The distinct pairs meet their sets once: suffix filter, then the exact count.
 """
 
@@ -27,13 +27,17 @@ WIDTH = 5
 PERCENT = 75
 
 # Cells of the sketch that orders n-grams: its size does not grow with the input. A fuller sketch orders more coarsely.
-ORDER_CELLS = 1 << 20
+ORDER_CELLS = 1 << 23
+# Cells a task gathers before it counts them.
+GATHERED = 1 << 20
 # Sets sharing an n-gram that are paired at once; larger groups begin with a pivot.
 SMALL = 12
 # Turns with a pivot before the rest is paired in full.
-PIVOT_TURNS = 4
+PIVOT_TURNS = 1
+# 64-bit words of a set's parity marks, which bound how far two sets are apart before they are paired.
+MARKS = 16
 # Entries a task holds before it gives them out, and entries a bucket should have.
-HELD, BUCKET_ENTRIES = 2_000_000, 500_000
+HELD, BUCKET_ENTRIES = 500_000, 500_000
 BUCKETS_AT_LEAST = 64
 
 SET_SCHEMA = "doc_id long, text_key long, n_shingles long, signature long, slice int, cells binary"
@@ -61,27 +65,42 @@ def signature(grams):
 
 
 def _cells(grams):
-    return (grams >> np.uint64(44)).astype(np.int64) % ORDER_CELLS
+    return (grams >> np.uint64(40)).astype(np.int64) % ORDER_CELLS
 
 
 def scan_sets(docs, width=WIDTH):
     """Per document its id, set size and signature; after them the partition's sketch in slices."""
 
     def scan(batches):
-        counts = np.zeros(ORDER_CELLS, np.uint32)
+        # A task counts to 15, so that two cells go into a byte; the merged sketch counts on.
+        counts, gathered, held = np.zeros(ORDER_CELLS, np.uint8), [], 0
+
+        def counted():
+            cells, times = np.unique(np.concatenate(gathered), return_counts=True)
+            counts[cells] = np.minimum(counts[cells] + times, 15)
+
         for batch in batches:
-            sets = [shingles(text, width) for text in batch["text"]]
-            grams = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-            counts += np.bincount(_cells(grams), minlength=ORDER_CELLS).astype(np.uint32)
+            sizes, signs = [], []
+            for text in batch["text"]:
+                grams = shingles(text, width)
+                sizes.append(len(grams))
+                signs.append(signature(grams) if len(grams) else None)
+                gathered.append(_cells(grams).astype(np.uint32))
+                held += len(grams)
+                if held >= GATHERED:
+                    counted()
+                    gathered, held = [], 0
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"),
                 "text_key": batch["text_key"],
-                "n_shingles": [len(s) for s in sets],
-                "signature": pd.array([signature(s) if len(s) else None for s in sets], "Int64"),
-                "slice": pd.array([None] * len(sets), "Int32"),
+                "n_shingles": sizes,
+                "signature": pd.array(signs, "Int64"),
+                "slice": pd.array([None] * len(sizes), "Int32"),
                 "cells": None,
             })
-        parts = list(base.slices_of(np.minimum(counts, 65535).astype(np.uint16)))
+        if held:
+            counted()
+        parts = list(base.slices_of(counts[0::2] << 4 | counts[1::2]))
         if parts:
             yield pd.DataFrame({
                 "doc_id": pd.array([None] * len(parts), "Int64"),
@@ -192,20 +211,22 @@ def pair_up(entries, percent=PERCENT):
             one = index[(count <= SMALL) & (index - begin + step < count)]
             left.append(one)
             right.append(one + step)
-        # The pivot is the set whose scrambled signature is least: mostly the same one for all n-grams of a group.
+        crowded = count > SMALL
         large = np.flatnonzero(counts > SMALL)
         if len(large):
             rank = base.mixed(sign.view(np.uint64))
             for at in large:
                 span = np.arange(starts[at], starts[at] + counts[at])
-                pivot = span[np.argmin(rank[span])]
+                pivot = span[np.lexsort((rank[span], place[span]))[0]]
                 rest = span[span != pivot]
                 left.append(np.full(len(rest), pivot))
                 right.append(rest)
+                # Every pair of the pivot is out now.
+                crowded[pivot] = False
         left, right = np.concatenate(left), np.concatenate(right)
         keep = _may_link(size[left], place[left], size[right], place[right], percent)
         pairs = _pairs_frame(sign, size, left[keep], right[keep])
-        members = np.flatnonzero(count > SMALL)
+        members = np.flatnonzero(crowded)
         crowd = pd.DataFrame({
             "a_sig": sign[members], "a_n": size[members], "gram": gram[members].view(np.int64), "place": place[members],
         })
@@ -262,11 +283,13 @@ def sets_of(docs, pairs, width=WIDTH):
     return docs.select("text").mapInPandas(scan, "sign long, grams binary")
 
 
-def verified(docs, pairs, width=WIDTH, percent=PERCENT):
+def stored_sets(docs, pairs, width=WIDTH):
+    """Table (sign, grams), each set once: copies in several partitions give the same set, any of them serves."""
+    return base.stored(sets_of(docs, pairs, width).groupBy("sign").agg(F.min("grams").alias("grams")), "sets")
+
+
+def verified(sets, pairs, percent=PERCENT):
     """Those of the distinct candidate pairs that truly link, as (a, b)."""
-    # Copies in several partitions give the same set; any of them serves.
-    sets = sets_of(docs, pairs, width).groupBy("sign").agg(F.min("grams").alias("grams"))
-    sets = base.stored(sets, "sets")
 
     def check(batches):
         for batch in batches:
@@ -285,7 +308,7 @@ def verified(docs, pairs, width=WIDTH, percent=PERCENT):
 def _apart(crowd, labels):
     """Members of crowded n-grams whose sets are still in more than one group, with the group of each."""
     own = crowd.join(labels, crowd["a_sig"] == labels["node"], "left").select(
-        "gram", "a_sig", "a_n", "place", F.coalesce("label", "a_sig").alias("label")
+        *crowd.columns, F.coalesce("label", "a_sig").alias("label")
     )
     own = base.stored(own, "crowd")
     open_grams = own.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
@@ -294,13 +317,38 @@ def _apart(crowd, labels):
 
 
 def _fits(percent):
-    """SQL form of the length and positional filter for rows l and r."""
+    """SQL form of the length, positional and suffix filters for rows l and r.
+
+    Where parity marks differ, a member is in one set only; so they can't differ in more places than two sets with the
+    wanted overlap do.
+    """
+    apart = " + ".join(f"bit_count(l.m{i} ^ r.m{i})" for i in range(MARKS))
     return (
         f"100 * least(l.a_n, r.a_n) >= {percent} * greatest(l.a_n, r.a_n) and "
-        f"({100 + percent}) * least(l.a_n - l.place, r.a_n - r.place) >= {percent} * (l.a_n + r.a_n)"
+        f"({100 + percent}) * least(l.a_n - l.place, r.a_n - r.place) >= {percent} * (l.a_n + r.a_n) and "
+        f"{apart} <= l.a_n + r.a_n - 2 * (({percent} * (l.a_n + r.a_n) + {99 + percent}) div {100 + percent})"
     )
 
 
+def parity_marks(grams):
+    """MARKS numbers of 64 bits: a bit says whether an odd number of the set's members fall on it."""
+    bits = np.bincount((base.mixed(grams) % np.uint64(64 * MARKS)).astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _with_marks(crowd, sets):
+    """Crowd rows with the parity marks of their sets."""
+
+    def scan(batches):
+        for batch in batches:
+            found = np.array([parity_marks(np.frombuffer(g, np.uint64)) for g in batch["grams"]]).reshape(-1, MARKS)
+            yield pd.DataFrame({"sign": batch["sign"], **{f"m{i}": found[:, i] for i in range(MARKS)}})
+
+    schema = "sign long, " + ", ".join(f"m{i} long" for i in range(MARKS))
+    marks = base.stored(sets.mapInPandas(scan, schema), "marks")
+    return base.stored(crowd.join(marks, crowd["a_sig"] == marks["sign"]).drop("sign"), "crowd")
+
+
 def _oriented(pairs):
     """Candidate pairs of rows l and r as distinct (a_sig, a_n, b_sig, b_n)."""
     swap = F.col("l.a_sig") > F.col("r.a_sig")
@@ -311,10 +359,16 @@ def _oriented(pairs):
     ).distinct()
 
 
+def add_halves(table, more):
+    """Add a task's counts, two to a byte, to the merged counts, which stay at their largest value."""
+    base.add_saturating(table[0::2], more >> 4)
+    base.add_saturating(table[1::2], more & 15)
+
+
 def links(docs, sets, width=WIDTH, percent=PERCENT):
     """(links, labels): verified links between signatures that together give all groups, and the groups' labels."""
     spark = docs.sparkSession
-    common = base.merged_sketch(sets.where("slice is not null"), ORDER_CELLS, np.uint16, base.add_saturating)
+    common = base.merged_sketch(sets.where("slice is not null"), ORDER_CELLS, np.uint8, add_halves)
     common = spark.sparkContext.broadcast(common)
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(BUCKETS_AT_LEAST, int(total * (100 - percent) / 100 / BUCKET_ENTRIES))
@@ -323,17 +377,20 @@ def links(docs, sets, width=WIDTH, percent=PERCENT):
         found.where("gram is null").groupBy("a_sig", "b_sig").agg(F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n")),
         "candidates",
     )
-    proven = base.stored(verified(docs, pairs, width, percent), "links")
+    proven = base.stored(verified(stored_sets(docs, pairs, width), pairs, percent), "links")
     labels = base.stored(connected(proven), "labels")
     crowd = _apart(found.where("gram is not null").select("gram", "a_sig", "a_n", "place"), labels)
+    if crowd.isEmpty():
+        return proven, labels
+    # Sets of all further turns come from one more scan.
+    grams = stored_sets(docs, crowd.select("a_sig", F.col("a_sig").alias("b_sig")).distinct(), width)
+    crowd = _with_marks(crowd, grams)
     tried = pairs.select("a_sig", "b_sig")
     for turn in range(PIVOT_TURNS + 1):
-        if crowd.isEmpty():
-            break
         if turn < PIVOT_TURNS:
-            # The next pivot of each n-gram: another set of another order each turn.
-            rank = F.struct(F.xxhash64("a_sig", F.lit(turn)), "a_sig", "a_n", "place", "label")
-            pivots = base.stored(crowd.groupBy("gram").agg(F.min(rank).alias("p")).select("gram", "p.*").drop("col1"), "pivots")
+            others = [c for c in crowd.columns if c not in ("gram", "place", "a_sig")]
+            rank = F.struct("place", F.xxhash64("a_sig").alias("tie"), "a_sig", *others)
+            pivots = base.stored(crowd.groupBy("gram").agg(F.min(rank).alias("p")).select("gram", "p.*").drop("tie"), "pivots")
             met = crowd.alias("l").join(pivots.alias("r"), F.expr(f"l.gram = r.gram and l.label <> r.label and {_fits(percent)}"))
         else:
             met = crowd.alias("l").join(
@@ -342,9 +399,15 @@ def links(docs, sets, width=WIDTH, percent=PERCENT):
             )
         more = base.stored(_oriented(met).join(tried, ["a_sig", "b_sig"], "left_anti"), "candidates")
         tried = tried.union(more.select("a_sig", "b_sig"))
-        proven = proven.union(base.stored(verified(docs, more, width, percent), "links"))
+        proven = proven.union(base.stored(verified(grams, more, percent), "links"))
         labels = base.stored(connected(proven), "labels")
-        crowd = _apart(crowd.drop("label"), labels)
+        if turn == PIVOT_TURNS:
+            break
+        # All pairs of a pivot within its n-gram are decided; the others go on while their n-gram has several groups.
+        left = crowd.drop("label").join(pivots.select("gram", "a_sig"), ["gram", "a_sig"], "left_anti")
+        crowd = _apart(left, labels)
+        if crowd.isEmpty():
+            break
     return proven, labels
 
 
