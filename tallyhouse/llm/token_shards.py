@@ -9,15 +9,16 @@ import zlib
 
 import numpy as np
 import pandas as pd
+from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import base
-from tallyhouse.llm.tokens import Remembering
+from tallyhouse.llm.tokens import Remembering, parts_of, pattern
 from tallyhouse.llm.wavelet import from_file, to_file
 
 # Ids in one file, about; a document is never divided.
-SHARD_IDS = 2_000_000
+SHARD_IDS = 1_000_000
 END_ID = 0
 
 SHARD_SCHEMA = "part int, number int, start long, n_tokens long, n_docs int, content binary"
@@ -25,18 +26,34 @@ SHARD_SCHEMA = "part int, number int, start long, n_tokens long, n_docs int, con
 _TOKENIZERS = {}
 
 
+def byte_letters():
+    """The letter that byte-level vocabularies write for each byte: printing ones stand for themselves."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    others = [b for b in range(256) if b not in plain]
+    letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return "".join(letters[b] for b in range(256))
+
+
 def tokenizer(path):
-    """(tokenizer, ids of its largest number of bits, memory of parts) of a tokenizers file, kept per Python process.
+    """(tokenizer, bits of its largest id, memory of parts) of a byte-level tokenizers file, kept per Python process.
 
-    Names of special tokens that stand in a text are ordinary text.
+    Names of special tokens that stand in a text are ordinary text. Matches of the pattern are encoded by the library's
+    model once each and remembered; texts that can't be cut go through the library as a whole.
     """
     if path not in _TOKENIZERS:
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(path)
         own.encode_special_tokens = True
-        memory = Remembering(lambda part: own.encode(part, add_special_tokens=False).ids)
-        _TOKENIZERS[path] = own, max(1, (own.get_vocab_size() - 1).bit_length()), memory
+        model, letters, find = own.model, byte_letters(), pattern(PATTERN).findall
+        pieces = Remembering(lambda piece: [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))])
+
+        def encode(part):
+            if parts_of(part) is None:
+                return own.encode(part, add_special_tokens=False).ids
+            return np.frombuffer(b"".join(map(pieces.__getitem__, find(part))), "<u4")
+
+        _TOKENIZERS[path] = own, max(1, (own.get_vocab_size() - 1).bit_length()), Remembering(encode)
     return _TOKENIZERS[path]
 
 
