@@ -31,14 +31,21 @@ def split_large_groups(df, keys, max_group_rows=MAX_GROUP_ROWS):
     return tuple(lookup_join(df, large, keys, how, null_safe=True, broadcast=True) for how in ("left_anti", "left_semi"))
 
 
+def total_order(df, partition, order):
+    """Sort columns: the named ones, then all others, NULLs last."""
+    rest = [c for c in df.columns if c not in {*partition, *order}]
+    return [F.asc_nulls_last(c) for c in [*order, *rest]]
+
+
 def number_lines(df, partition, order, *, name="transaction_line_number", max_group_rows=MAX_GROUP_ROWS):
-    """Number rows 1..n inside each group by the order columns, NULLs last.
+    """Number rows 1..n inside each group by the order columns, then by all others, NULLs last.
 
-    Rows equal on every order column are interchangeable. Groups above
-    `max_group_rows` are numbered from counts instead of one sorted task.
+    The order is total: a number does not depend on partitions, retries or the
+    size of a group. Groups above `max_group_rows` are numbered from counts
+    instead of one sorted task.
     """
     plain, large = split_large_groups(df, partition, max_group_rows)
-    over = Window.partitionBy(*partition).orderBy(*[F.asc_nulls_last(c) for c in order])
+    over = Window.partitionBy(*partition).orderBy(*total_order(df, partition, order))
     plain = plain.withColumn(name, F.row_number().over(over).cast("bigint"))
     if large is not None:
         plain = plain.unionByName(_number_large(large, partition, order, name))
@@ -67,7 +74,7 @@ def _number_large(df, partition, order, name):
         prefix.append(column)
     runs = lookup_join(runs, ahead, prefix, "inner", null_safe=True, broadcast=False)
     rest = [c for c in df.columns if c not in prefix] or prefix
-    over = Window.partitionBy(*prefix).orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy(*prefix).orderBy(*[F.asc_nulls_last(c) for c in rest]).rowsBetween(Window.unboundedPreceding, -1)
     first = F.col("_ahead") + F.coalesce(F.sum("_copies").over(over), F.lit(0))
     size = F.lit(COPIES_PER_TASK).cast("bigint")
     chunks = (
@@ -90,17 +97,17 @@ def trailing_avg(df, keys, order, value, n=7, *, name="trailing_avg", total="tra
     plain, large = split_large_groups(df, keys, max_group_rows)
 
     def means(rows, groups, by):
-        over = Window.partitionBy(*groups).orderBy(by).rowsBetween(-(n - 1), 0)
+        over = Window.partitionBy(*groups).orderBy(*by).rowsBetween(-(n - 1), 0)
         return rows.withColumns({total: F.sum(value).over(over), count: F.count(value).over(over)})
 
-    out = means(plain, keys, order)
+    out = means(plain, keys, total_order(df, keys, [order]))
     if large is not None:
         numbered = number_lines(large, keys, [order], name="_n", max_group_rows=max_group_rows)
         block = F.floor((F.col("_n") - 1) / BLOCK_ROWS)
         own = numbered.withColumns({"_block": block, "_own": F.lit(True)})
         tail = own.where(F.pmod(F.col("_n") - 1, F.lit(BLOCK_ROWS)) >= BLOCK_ROWS - (n - 1))
         blocks = own.unionByName(tail.withColumns({"_block": F.col("_block") + 1, "_own": F.lit(False)}))
-        split = means(blocks, [*keys, "_block"], "_n").where("_own").drop("_n", "_block", "_own")
+        split = means(blocks, [*keys, "_block"], ["_n"]).where("_own").drop("_n", "_block", "_own")
         out = out.unionByName(split)
     return out.withColumn(name, rounded_ratio(total, count, 6))
 

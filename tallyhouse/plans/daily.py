@@ -1,7 +1,11 @@
 """The daily build: Bronze snapshots to staged tables, Gold tables, gates and export."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.calendar import covered_days
 from tallyhouse.operators import staging
 from tallyhouse.plans import dimensions, facts, intermediate, quality
 from tallyhouse.schemas import ARRIVAL, GOLD_TABLES
@@ -22,10 +26,25 @@ def silver_tables(tables, *, latest=True):
     }
 
 
-def dimension_tables(spark, silver):
+BUSINESS_DATES = {
+    "stg_pos_transactions": "transaction_date",
+    "stg_daily_inventory": "inventory_date",
+    "stg_staff_shifts": "shift_date",
+}
+
+
+def business_calendar(silver):
+    """Calendar from the first to the last staged business date, so that every fact finds its day."""
+    ends = [silver[name].agg(F.min(day).alias("a"), F.max(day).alias("b")) for name, day in BUSINESS_DATES.items()]
+    days = reduce(DataFrame.union, ends).select(F.explode(F.array("a", "b")).alias("day"))
+    return dimensions.calendar_of(covered_days(days, "day"))
+
+
+def dimension_tables(spark, silver, calendar=None):
+    """Dimensions of the staged tables; `calendar` is (first day, day after the last), by default what the data spans."""
     lines = silver["stg_pos_transactions"]
     return {
-        "dim_date": dimensions.build_dim_date(spark),
+        "dim_date": dimensions.build_dim_date(spark, *calendar) if calendar else business_calendar(silver),
         "dim_store": dimensions.build_dim_store(lines),
         "dim_product": dimensions.build_dim_product(lines, silver["stg_product_costs"]),
         "dim_ingredient": dimensions.build_dim_ingredient(silver["stg_recipes_bom"]),
@@ -46,7 +65,7 @@ def fact_tables(silver, dims):
     }
 
 
-def build_gold(spark, tables, root):
+def build_gold(spark, tables, root, *, calendar=None):
     """Build and store the staged tables, then the dimensions, then the facts.
 
     Each stored layer ends the lineage of the next: POS lines are parsed,
@@ -59,7 +78,7 @@ def build_gold(spark, tables, root):
     for name, df in staged.items():
         gold.write_table(df, root, name, "silver")
     silver = {name: gold.read_table(spark, root, name, "silver") for name in staged}
-    for name, df in dimension_tables(spark, silver).items():
+    for name, df in dimension_tables(spark, silver, calendar).items():
         gold.write_table(df, root, name)
     dims = {name: gold.read_table(spark, root, name) for name in GOLD_TABLES if name.startswith("dim_")}
     for name, df in fact_tables(silver, dims).items():
@@ -81,7 +100,7 @@ def recent_bronze(spark, root):
     return tables
 
 
-def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=None):
+def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=None, calendar=None):
     """Gates before, build, gates after, export and run summary for one run date.
 
     A failing critical gate stops the run; the summary is written either way.
@@ -95,7 +114,7 @@ def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=Non
         tables["pos_profile"] = gold.read_table(spark, lake_root, "pos_profile", "silver")
         quality.run_gates(spark, tables, ["completeness", "integrity"], run_date=run_date, store=store)
         step = "build"
-        silver, tables_out = build_gold(spark, tables, lake_root)
+        silver, tables_out = build_gold(spark, tables, lake_root, calendar=calendar)
         step = "quality_gates_post"
         after = tables | {"stg_pos_transactions": silver["stg_pos_transactions"]}
         quality.run_gates(spark, after, ["consistency", "parity"], run_date=run_date, store=store)

@@ -304,18 +304,19 @@ def failure_sample(violations, rows=SAMPLE_ROWS):
     return [r.row for r in text.orderBy("row").limit(rows).collect()]
 
 
-def run_gates(spark, tables, blocks=None, *, run_date, gates=GATES, store=None):
+def run_gates(spark, tables, blocks=None, *, run_date, gates=GATES, store=None, sample_rows=SAMPLE_ROWS):
     """Run the gates of the blocks, store the results, then raise if a CRITICAL one failed.
 
     All gates are counted in one job. Only failing gates are evaluated again,
-    for a sample of three rows. `store(results, failures)` gets the one-row-per-gate
+    for a sample of `sample_rows` rows; the summary holds all their violations as
+    DataFrames. `store(results, failures)` gets the one-row-per-gate
     table and the complete violations of each failing gate as DataFrames, before
     the check; storing is best effort and its error becomes a note.
     """
     names, unknown = expand_blocks(blocks)
     rows = gate_results(spark, tables, names, gates).collect()
     failures = {r.gate: gates[r.gate].rule(tables) for r in rows if r.status == "FAIL"}
-    samples = {name: failure_sample(found) for name, found in failures.items()}
+    samples = {name: failure_sample(found, sample_rows) for name, found in failures.items()}
     samples |= {r.gate: ["rule not found"] for r in rows if r.status == "ERROR"}
     schema = "gate string, level string, status string, n_failures bigint, sample array<string>"
     results = spark.createDataFrame([(*r, samples.get(r.gate, [])) for r in rows], schema)
@@ -337,6 +338,7 @@ def run_gates(spark, tables, blocks=None, *, run_date, gates=GATES, store=None):
         "warnings": failed[WARNING],
         "info": failed[INFO],
         "failed_critical": [],
+        "violations": failures,
         "notes": notes,
     }
     return results, summary

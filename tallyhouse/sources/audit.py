@@ -5,23 +5,23 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from tallyhouse.plans.diagnostics import order_backlog
+from tallyhouse.sources.files import exists
 
 
 def gate_store(root):
-    """A store for `run_gates`: JSON by run date, one folder of results and one per failing gate."""
+    """A store for `run_gates`: JSON by run date and gate, results and the violations of failing gates."""
 
     def save(results, failures):
-        run_date = results.first().run_date
-        writer = results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date")
-        writer.json(f"{root}/results")
-        for gate, rows in failures.items():
-            (
-                rows.withColumns({"run_date": F.lit(run_date), "gate": F.lit(gate)})
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("run_date", "gate")
-                .json(f"{root}/failures")
-            )
+        rows = results.collect()
+        for row in rows:
+            # A gate replaces its own earlier result and violations only: several runs of a day add up.
+            where = f"run_date={row.run_date}/gate={row.gate}"
+            own = results.where(F.col("gate") == row.gate).drop("run_date", "gate")
+            own.write.mode("overwrite").json(f"{root}/results/{where}")
+            if row.gate in failures:
+                failures[row.gate].write.mode("overwrite").json(f"{root}/failures/{where}")
+            elif exists(results.sparkSession, f"{root}/failures/{where}"):
+                results.limit(0).select("level").write.mode("overwrite").json(f"{root}/failures/{where}")
 
     return save
 

@@ -4,7 +4,6 @@ Columns bind by header name, never by position, and a rerun of an arrival date
 replaces exactly its own folder.
 """
 
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,7 +13,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tallyhouse.schemas import ARRIVAL, BRONZE, text_schema
 from tallyhouse.sources.files import exists, hadoop_path, list_names
 
-INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 DATASETS = tuple(BRONZE)
 
 
@@ -33,51 +31,69 @@ def write_bronze(df, root, dataset, run_date, *, source_file=None, now=None, fil
         df = df.withColumns({"ingestion_timestamp": stamp.cast("string"), "source_file": F.lit(source_file)})
     if files is not None:
         df = df.coalesce(files)
-    (
-        df.withColumn(ARRIVAL, F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .option("escape", '"')
-        .partitionBy(ARRIVAL)
-        .csv(dataset_path(root, dataset))
-    )
-
-
-@contextmanager
-def _text_partitions(spark):
-    before = spark.conf.get(INFERENCE)
-    spark.conf.set(INFERENCE, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(INFERENCE, before)
-
-
-def latest_arrival(spark, path, col=ARRIVAL):
-    """The greatest arrival date below a path, from the file listing; no file is opened."""
-    with _text_partitions(spark):
-        listing = spark.read.format("binaryFile").load(str(path))
-        return listing.agg(F.max(col)).first()[0]
+    _replace_arrival(df, dataset_path(root, dataset), run_date)
+
+
+def _replace_arrival(df, path, date):
+    """Write rows as the whole snapshot of a date: without rows the snapshot is empty afterwards, not the old one."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/{ARRIVAL}={date}")
+
+
+def _arrival_dates(spark, path):
+    """Arrival dates below a path from its folder names, oldest first; no file is opened."""
+    prefix = f"{ARRIVAL}="
+    return [n.removeprefix(prefix) for n in list_names(spark, path) if n.startswith(prefix)]
+
+
+def latest_arrival(spark, path):
+    """The greatest arrival date below a path, None without any."""
+    return max(_arrival_dates(spark, path), default=None)
+
+
+def _snapshots(spark, path, dates):
+    """Tables of the snapshots of these dates, those of one header read together.
+
+    Every folder binds by its own header. A file whose header differs from the others in its folder fails.
+    """
+    by_header = {}
+    for date in dates:
+        header = spark.read.option("header", True).option("escape", '"').csv(f"{path}/{ARRIVAL}={date}").columns
+        if header:
+            by_header.setdefault(tuple(header), []).append(date)
+    def reader(columns):
+        schema = StructType([StructField(c, StringType()) for c in columns])
+        return spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
+
+    for header, own in by_header.items():
+        folders = [f"{path}/{ARRIVAL}={date}" for date in own]
+        if ARRIVAL in header:
+            # The folder's date counts, not a column of the same name.
+            for date, folder in zip(own, folders):
+                yield reader(header).csv(folder).withColumn(ARRIVAL, F.lit(date))
+        else:
+            yield reader([*header, ARRIVAL]).option("basePath", str(path)).csv(folders)
 
 
 def read_bronze(spark, root, dataset, *, latest=False):
-    """A Bronze dataset as text, bound by header name; declared columns a file lacks are NULL.
+    """A Bronze dataset as text, bound by the header of each arrival; declared columns an arrival lacks are NULL.
 
-    `latest` fixes the newest arrival date before planning, so the scan lists
-    and reads that folder only. Staging such a table needs no further snapshot
-    filter.
+    `latest` takes the newest arrival from the folder names, so the scan lists and reads that folder only. Staging such
+    a table needs no further snapshot filter.
     """
     path = dataset_path(root, dataset)
-    columns = BRONZE[dataset][1]
-    with _text_partitions(spark):
-        found = spark.read.option("header", True).option("escape", '"').csv(path)
-    if latest:
-        found = found.where(F.col(ARRIVAL) == F.lit(latest_arrival(spark, path)))
-    wanted = [*columns, ARRIVAL]
-    return found.select(
-        *[(F.col(c) if c in found.columns else F.lit(None)).cast("string").alias(c) for c in wanted]
-    )
+    dates = _arrival_dates(spark, path)
+    if not dates:
+        raise FileNotFoundError(f"no arrivals below {path}")
+    newest = max(dates)
+    wanted = [*BRONZE[dataset][1], ARRIVAL]
+    parts = [
+        found.select(*[(F.col(c) if c in found.columns else F.lit(None)).cast("string").alias(c) for c in wanted])
+        for found in _snapshots(spark, path, [newest] if latest else dates)
+    ]
+    if not parts:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in wanted]))
+    rows = reduce(DataFrame.union, parts)
+    return rows.where(F.col(ARRIVAL) == F.lit(newest)) if latest else rows
 
 
 def read_all_bronze(spark, root, *, latest=False):
@@ -86,9 +102,7 @@ def read_all_bronze(spark, root, *, latest=False):
 
 def arrivals(spark, root, dataset):
     """Arrival folders of a dataset, oldest first."""
-    prefix = f"{ARRIVAL}="
-    names = list_names(spark, dataset_path(root, dataset))
-    return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+    return _arrival_dates(spark, dataset_path(root, dataset))
 
 
 def copy_bronze(spark, source_root, target_root, *, run_date=None, full_refresh=False):
@@ -104,17 +118,9 @@ def copy_bronze(spark, source_root, target_root, *, run_date=None, full_refresh=
         wanted = present if full_refresh else [d for d in present if d == run_date]
         if not wanted:
             continue
-        with _text_partitions(spark):
-            rows = spark.read.option("header", True).option("escape", '"').csv(dataset_path(source_root, dataset))
-        (
-            rows.where(F.col(ARRIVAL).isin(*wanted))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("header", True)
-            .option("escape", '"')
-            .partitionBy(ARRIVAL)
-            .csv(dataset_path(target_root, dataset))
-        )
+        for date in wanted:
+            for rows in _snapshots(spark, dataset_path(source_root, dataset), [date]):
+                _replace_arrival(rows.drop(ARRIVAL), dataset_path(target_root, dataset), date)
         copied += [(dataset, date) for date in wanted]
     if not copied:
         raise FileNotFoundError(f"no Bronze files for {run_date or 'any date'} in {source_root}")
@@ -166,15 +172,17 @@ def declared_columns():
 def create_bronze_tables(spark, root, database):
     """Declare the datasets as external CSV tables of a catalog database.
 
-    The column list follows the header of the files where there are any, so
-    the table binds as `read_bronze` does.
+    The column list follows the header of the newest files where there are any.
+    A table has one column order: reading arrivals of another header through it
+    fails instead of swapping columns; `read_bronze` reads those too.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, (_, columns, partitioned) in BRONZE.items():
         path = dataset_path(root, name)
         if list_names(spark, path):
-            with _text_partitions(spark):
-                columns = [c for c in spark.read.option("header", True).csv(path).columns if c != ARRIVAL]
+            newest = latest_arrival(spark, path)
+            folder = f"{path}/{ARRIVAL}={newest}" if newest else path
+            columns = [c for c in spark.read.option("header", True).csv(folder).columns if c != ARRIVAL]
         else:
             fs, folder = hadoop_path(spark, path)
             fs.mkdirs(folder)
@@ -187,7 +195,7 @@ def create_bronze_tables(spark, root, database):
         by = f"PARTITIONED BY ({ARRIVAL})" if partitioned else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING csv "
-            f"OPTIONS (header 'true', escape '\"') {by} LOCATION '{path}'"
+            f"OPTIONS (header 'true', escape '\"', enforceSchema 'false') {by} LOCATION '{path}'"
         )
 
 

@@ -297,3 +297,17 @@ def test_constraints(rows):
     assert constraints.accepted_range(df, "v", low=1).count() == 0
     parent = rows([(2,)], "id int")
     assert constraints.relationships(df, "k", parent, "id").count() == 2
+
+
+def test_tied_rows_are_numbered_alike_whatever_the_group_limit(rows):
+    df = rows([("t", "07:00", s, s % 3) for s in (9, 4, 7, 5, 8, 6)], "id string, at string, store int, v int")
+    seen = {
+        limit: sorted(tuple(r) for r in ordered.number_lines(df, ["id"], ["at"], max_group_rows=limit).select("store", "transaction_line_number").collect())
+        for limit in (1, 2, 10, 1_000_000)
+    }
+    assert len({tuple(v) for v in seen.values()}) == 1 and seen[1][0] == (4, 1)
+    means = {
+        limit: sorted(tuple(r) for r in ordered.trailing_avg(df, ["id"], "at", "store", 3, max_group_rows=limit).select("store", "trailing_sum").collect())
+        for limit in (1, 2, 10, 1_000_000)
+    }
+    assert len({tuple(v) for v in means.values()}) == 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_list, as_set
 from tallyhouse.operators import constraints
-from tallyhouse.plans import diagnostics, dimensions, facts, generate, intermediate, kpis, quality
+from tallyhouse.plans import daily, diagnostics, dimensions, facts, generate, intermediate, kpis, quality
 
 D = Decimal
 DAY = dt.date
@@ -284,3 +284,13 @@ def test_kpis_of_empty_facts_are_zero(rows):
     assert as_list(kpis.order_value(gold)) == [(0, D(0), D(0))]
     assert kpis.labor_share(gold).first().labor_cost_status == "ON TARGET"
     assert kpis.revenue_per_labor_hour(gold).first().revenue_per_labor_hour == 0
+
+
+def test_calendar_spans_all_business_dates(rows):
+    silver = {
+        "stg_pos_transactions": rows([(dt.date(2023, 12, 30),), (dt.date(2024, 1, 2),)], "transaction_date date"),
+        "stg_daily_inventory": rows([(dt.date(2024, 1, 4),)], "inventory_date date"),
+        "stg_staff_shifts": rows([], "shift_date date"),
+    }
+    days = [r.full_date for r in daily.business_calendar(silver).orderBy("full_date").collect()]
+    assert days[0] == dt.date(2023, 12, 30) and days[-1] == dt.date(2024, 1, 4) and len(days) == 6

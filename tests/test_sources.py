@@ -200,3 +200,39 @@ def test_daily_run_end_to_end(spark, tmp_path):
         daily.run_daily(spark, root, mapping, lake, "2023-06-17")
     last = spark.read.json(f"{lake}/pipeline-runs").where("run_date = '2023-06-17'")
     assert as_list(last, "status", "failed_task") == [("FAILED", "quality_gates_pre")]
+
+
+def test_arrivals_of_other_column_orders_bind_by_name(rows, tmp_path, spark):
+    root = str(tmp_path / "bronze")
+    first = rows([("a", "g", "1.5", "ml")], "product_name string, ingredient_name string, qty_required_per_unit string, unit_of_measure string")
+    second = rows([("g", "ml", "b")], "ingredient_name string, unit_of_measure string, product_name string")
+    bronze.write_bronze(first, root, "bronze_recipes_bom", "2023-06-14")
+    bronze.write_bronze(second, root, "bronze_recipes_bom", "2023-06-15")
+    wanted = ("product_name", "ingredient_name", "qty_required_per_unit", "unit_of_measure")
+    assert as_set(bronze.read_bronze(spark, root, "bronze_recipes_bom"), *wanted) == {("a", "g", "1.5", "ml"), ("b", "g", None, "ml")}
+    newest = bronze.read_bronze(spark, root, "bronze_recipes_bom", latest=True)
+    assert as_set(newest, *wanted) == {("b", "g", None, "ml")}
+    copied = str(tmp_path / "copy")
+    bronze.copy_bronze(spark, root, copied, full_refresh=True)
+    assert as_set(bronze.read_bronze(spark, copied, "bronze_recipes_bom"), *wanted) == {("a", "g", "1.5", "ml"), ("b", "g", None, "ml")}
+
+
+def test_empty_rerun_empties_its_snapshot(rows, tmp_path, spark):
+    root = str(tmp_path / "bronze")
+    df = rows([("a", "g")], "product_name string, ingredient_name string")
+    bronze.write_bronze(df, root, "bronze_recipes_bom", "2023-06-14")
+    bronze.write_bronze(df.limit(0), root, "bronze_recipes_bom", "2023-06-14")
+    assert bronze.read_bronze(spark, root, "bronze_recipes_bom").count() == 0
+
+
+def test_gate_store_keeps_other_gates_and_clears_passed_ones(rows, tmp_path, spark):
+    schema = "gate string, level string, status string, n_failures bigint, sample array<string>, run_date string"
+    store = audit.gate_store(str(tmp_path / "gates"))
+    store(rows([("01", "CRITICAL", "FAIL", 1, ["x"], "2023-06-15")], schema), {"01": rows([(1,)], "v int")})
+    store(rows([("06", "WARNING", "PASS", 0, [], "2023-06-15")], schema), {})
+    kept = spark.read.json(str(tmp_path / "gates" / "results"))
+    assert {str(r.gate).lstrip("0") for r in kept.collect()} == {"1", "6"}
+    store(rows([("01", "CRITICAL", "PASS", 0, [], "2023-06-15")], schema), {})
+    assert list((tmp_path / "gates" / "failures").rglob("part-*.json")) == [] or all(
+        p.stat().st_size == 0 for p in (tmp_path / "gates" / "failures").rglob("part-*.json")
+    )
