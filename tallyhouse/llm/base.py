@@ -80,6 +80,53 @@ def word_hashes(words):
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
+# A word's hash is a polynomial of random numbers, one for each byte; white space counts as nothing, A-Z as a-z.
+LONG_WORD = 64
+BLOCK_BYTES = 1 << 16
+_IN_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
+_LETTERS = np.random.default_rng(12).integers(0, 1 << 64, 256, np.uint64) * _IN_WORD
+_LETTERS[65:91] = _LETTERS[97:123]
+_BASE = 0x9E3779B97F4A7C1B
+
+
+def _powers(base, n):
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+_POWERS = _powers(_BASE, BLOCK_BYTES + LONG_WORD)
+_INVERSE = _powers(pow(_BASE, -1, 1 << 64), BLOCK_BYTES)
+
+
+def text_word_hashes(text):
+    """64-bit hashes of a text's words between ASCII white space, A-Z in lower case, from running sums over its bytes.
+
+    Words above `LONG_WORD` bytes are hashed one by one.
+    """
+    data = np.frombuffer(b" %b " % text.encode(), np.uint8)
+    inside = _IN_WORD[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[0::2], edges[1::2]
+    out = np.empty(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + BLOCK_BYTES, BLOCK_BYTES))
+    for number, (first, last) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if first == last:
+            continue
+        offset = number * BLOCK_BYTES
+        own = _LETTERS[data[offset : offset + BLOCK_BYTES + LONG_WORD]]
+        own *= _POWERS[: len(own)]
+        sums = np.cumsum(own)
+        begins = starts[first:last] - offset
+        before = np.where(begins > 0, sums[begins - 1], np.uint64(0))
+        stops = np.minimum(ends[first:last] - offset, len(own))
+        out[first:last] = (sums[stops - 1] - before) * _INVERSE[begins]
+    out = mixed(out)
+    for at in np.flatnonzero(ends - starts > LONG_WORD):
+        out[at] = xxh3_64_intdigest(data[starts[at] : ends[at]].tobytes().lower())
+    return out
+
+
 def mixed(values):
     """A one-to-one scrambling of 64-bit values, so that any bits of them are evenly spread."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -44,20 +44,17 @@ SET_SCHEMA = "doc_id long, text_key long, n_shingles long, signature long, slice
 PAIR = "a_sig long, a_n long, b_sig long, b_n long"
 
 
-def words_of(text):
-    """Words between ASCII white space, A-Z in lower case, as bytes."""
-    return text.encode().lower().split()
-
-
 def shingles(text, width=WIDTH):
     """The sorted distinct hashes of a text's word n-grams; a shorter text is one n-gram, a text without words none."""
-    words = words_of(text) if text else []
-    if not words:
+    hashes = base.text_word_hashes(text) if text else ()
+    if not len(hashes):
         return np.empty(0, np.uint64)
-    hashes = base.word_hashes(words)
-    if len(hashes) >= width:
-        return np.unique(base.run_hashes(hashes, width))
-    return base.run_hashes(hashes, len(hashes)) ^ np.uint64(len(hashes))
+    if len(hashes) < width:
+        return base.run_hashes(hashes, len(hashes)) ^ np.uint64(len(hashes))
+    grams = np.sort(base.run_hashes(hashes, width))
+    fresh = np.ones(len(grams), bool)
+    np.not_equal(grams[1:], grams[:-1], out=fresh[1:])
+    return grams[fresh]
 
 
 def signature(grams):
@@ -260,32 +257,33 @@ def linked(x, y, percent=PERCENT):
     return len(np.intersect1d(x, y, assume_unique=True)) >= wanted
 
 
-def sets_of(docs, pairs, width=WIDTH):
-    """(signature, grams) of the sets that occur in `pairs`, and of few others that a full filter lets pass."""
-    wanted = base.membership_filter(pairs, "a_sig", "b_sig")
+def sets_of(docs, texts, width=WIDTH):
+    """(sign, grams) of the documents whose text_key is in `texts`, and of few others that a full filter lets pass."""
+    wanted = base.membership_filter(texts, "text_key")
 
     def scan(batches):
         seen = set()
         for batch in batches:
             found = []
-            for text in batch["text"]:
+            fits = base.maybe_member(wanted.value, batch["text_key"].to_numpy(np.int64).view(np.uint64))
+            for text in batch["text"][fits]:
                 grams = shingles(text, width)
                 if not len(grams):
                     continue
                 sign = signature(grams)
-                if sign in seen:
-                    continue
-                seen.add(sign)
-                if base.maybe_member(wanted.value, np.array([sign], np.int64).view(np.uint64))[0]:
+                if sign not in seen:
+                    seen.add(sign)
                     found.append((sign, grams.tobytes()))
             yield pd.DataFrame(found, columns=["sign", "grams"])
 
-    return docs.select("text").mapInPandas(scan, "sign long, grams binary")
+    return docs.select("text", F.xxhash64("text").alias("text_key")).mapInPandas(scan, "sign long, grams binary")
 
 
-def stored_sets(docs, pairs, width=WIDTH):
-    """Table (sign, grams), each set once: copies in several partitions give the same set, any of them serves."""
-    return base.stored(sets_of(docs, pairs, width).groupBy("sign").agg(F.min("grams").alias("grams")), "sets")
+def stored_sets(docs, sets, signs, width=WIDTH):
+    """Table (sign, grams) of the sets named by `signs`, each once: of all texts that have a set, one is read again."""
+    own = sets.where("signature is not null").join(signs, sets["signature"] == signs["sign"], "left_semi")
+    texts = own.groupBy("signature").agg(F.min("text_key").alias("text_key"))
+    return base.stored(sets_of(docs, texts, width).groupBy("sign").agg(F.min("grams").alias("grams")), "sets")
 
 
 def verified(sets, pairs, percent=PERCENT):
@@ -377,13 +375,14 @@ def links(docs, sets, width=WIDTH, percent=PERCENT):
         found.where("gram is null").groupBy("a_sig", "b_sig").agg(F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n")),
         "candidates",
     )
-    proven = base.stored(verified(stored_sets(docs, pairs, width), pairs, percent), "links")
+    named = pairs.select(F.col("a_sig").alias("sign")).union(pairs.select("b_sig"))
+    proven = base.stored(verified(stored_sets(docs, sets, named, width), pairs, percent), "links")
     labels = base.stored(connected(proven), "labels")
     crowd = _apart(found.where("gram is not null").select("gram", "a_sig", "a_n", "place"), labels)
     if crowd.isEmpty():
         return proven, labels
     # Sets of all further turns come from one more scan.
-    grams = stored_sets(docs, crowd.select("a_sig", F.col("a_sig").alias("b_sig")).distinct(), width)
+    grams = stored_sets(docs, sets, crowd.select(F.col("a_sig").alias("sign")), width)
     crowd = _with_marks(crowd, grams)
     tried = pairs.select("a_sig", "b_sig")
     for turn in range(PIVOT_TURNS + 1):
@@ -399,8 +398,11 @@ def links(docs, sets, width=WIDTH, percent=PERCENT):
             )
         more = base.stored(_oriented(met).join(tried, ["a_sig", "b_sig"], "left_anti"), "candidates")
         tried = tried.union(more.select("a_sig", "b_sig"))
-        proven = proven.union(base.stored(verified(grams, more, percent), "links"))
-        labels = base.stored(connected(proven), "labels")
+        new = base.stored(verified(grams, more, percent), "links")
+        if not new.isEmpty():
+            # Labels are links too, and give the same groups as the links they came from.
+            proven = proven.union(new)
+            labels = base.stored(connected(new.union(labels.select("node", "label"))), "labels")
         if turn == PIVOT_TURNS:
             break
         # All pairs of a pivot within its n-gram are decided; the others go on while their n-gram has several groups.
