@@ -8,6 +8,7 @@ appending bytes only adds entries, and after an edit only pieces near it are enc
 
 import hashlib
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -39,6 +40,11 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.longest = max(map(len, ranks))
+        # Finds the tokens that end at each byte; a byte is given as the letter of its number.
+        self.matcher = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self.matcher.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.matcher.make_automaton()
         self.pattern = pattern(source)
         self.fitting = {}
 
@@ -58,15 +64,19 @@ class Vocabulary:
 
     def extend(self, piece, last):
         """Add the last tokens of the prefixes of `piece` that `last` (one entry per prefix so far) doesn't have yet."""
-        ranks, fits = self.ranks, self.fits
-        for end in range(len(last) + 1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = ranks.get(piece[start:end])
-                if token is not None and fits(last[start - 1] if start else -1, token):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a single byte")
+        fitting, begin = self.fitting, max(0, len(last) + 1 - self.longest)
+        for end, (token, size) in self.matcher.iter(piece[begin:].decode("latin-1")):
+            end += begin
+            if end < len(last):
+                continue
+            if end > len(last):
+                break
+            before = last[end - size] if end >= size else -1
+            known = fitting.get((before, token))
+            if self.fits(before, token) if known is None else known:
+                last.append(token)
+        if len(last) < len(piece):
+            raise ValueError("the vocabulary lacks a single byte")
 
     def walk(self, last):
         """Tokens of a piece from the last tokens of its prefixes."""
