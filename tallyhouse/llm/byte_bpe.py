@@ -7,6 +7,7 @@ appending bytes only adds entries, and after an edit only pieces near it are enc
 """
 
 import hashlib
+import math
 
 import ahocorasick
 import numpy as np
@@ -23,11 +24,13 @@ LOOK_AHEAD = 3
 def merged_by_rank(piece, ranks):
     """Plain BPE: join the adjacent pair of lowest rank until none is left. Used for pairs of tokens, which are short."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks) + 1))
-        if parts[best] + parts[best + 1] not in ranks:
-            break
-        parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    ranked = [ranks.get(x + y, math.inf) for x, y in zip(parts, parts[1:])]
+    while ranked and (low := min(ranked)) < math.inf:
+        at = ranked.index(low)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del ranked[at]
+        for pair in range(max(0, at - 1), min(at + 1, len(ranked))):
+            ranked[pair] = ranks.get(parts[pair] + parts[pair + 1], math.inf)
     return [ranks[p] for p in parts]
 
 

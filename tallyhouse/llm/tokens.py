@@ -6,7 +6,7 @@ import re
 import numpy as np
 import regex
 
-# Parts of texts whose ids a Python worker remembers; beyond it the memory starts anew.
+# Parts of texts whose ids a Python worker remembers; beyond it they become the old ones, and the old ones go.
 REMEMBERED_PARTS = 400_000
 
 _SPACE_RUN = re.compile(r"\s\s")
@@ -34,13 +34,16 @@ class Remembering(dict):
 
     def __init__(self, encode):
         super().__init__({"": b""})
-        self.encode = encode
+        self.encode, self.old = encode, {}
 
     def __missing__(self, part):
         if len(self) >= REMEMBERED_PARTS:
+            self.old = dict(self)
             self.clear()
-            self[""] = b""
-        ids = self[part] = np.asarray(self.encode(part), "<u4").tobytes()
+        ids = self.old.get(part)
+        if ids is None:
+            ids = np.asarray(self.encode(part), "<u4").tobytes()
+        self[part] = ids
         return ids
 
     def ids(self, text):
