@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tallyhouse.llm import (
     base, byte_bpe, components, decontamination, html_text, language_id, ngram_join, quality_cnn, quality_rules,
-    queries, substring_dedup, token_shards, toxicity, wavelet,
+    queries, substring_dedup, token_shards, tokens, toxicity, wavelet,
 )
 from tallyhouse.llm.tokens import load_ranks
 
@@ -167,6 +167,29 @@ def test_byte_bpe_appends_and_edits():
         assert text.tokens() == own.encode(text.text) and own.decode(text.tokens()).decode() == text.text
 
 
+def test_remembered_parts_do_not_change_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED_PARTS", 7)
+    asked = []
+    memory = tokens.Remembering(lambda part: asked.append(part) or [ord(c) for c in part])
+    rng = random.Random(3)
+    for _ in range(300):
+        text = " ".join(["often", *rng.choices("abcdefghijklmnop", k=rng.randint(0, 4))]) if rng.random() < 0.9 else ""
+        assert memory.ids(text).tolist() == [ord(c) for c in text]
+        assert len(memory) <= 8 and len(memory.old) <= 8
+    assert asked.count("often") == 1
+
+
+def test_pairs_merge_by_rank():
+    ranks = load_ranks(queries.RANKS)
+    library = tiktoken.Encoding("ranks", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice("aeinrst é\n0") for _ in range(rng.randint(1, 14)))
+        whole = ranks.get(text.encode())
+        merged = byte_bpe.merged_by_rank(text.encode(), ranks)
+        assert (merged if whole is None else [whole]) == library.encode_ordinary(text)
+
+
 def test_wavelet_matrix():
     values = np.random.default_rng(2).integers(0, 300, 3000).astype(np.uint16)
     matrix, ids, ends = wavelet.from_file(wavelet.to_file(values, 9, [7, None], [1000, 3000]))
