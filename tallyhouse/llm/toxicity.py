@@ -1,8 +1,9 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity by nearest labelled examples: exact cosine of whole TF-IDF vectors by a block-max index.
 
-The terms are words, and stems of words, that tell the classes of the labelled sample apart (chi-squared); their document
-frequencies come from all documents. The labelled examples are cut into blocks; the index knows, per term and block, the
-largest weight. Blocks are scored in order of their bound until none can hold a nearer neighbour, so the neighbours are
+The terms are all words, and stems of words; no word is left out. Document frequencies come from all documents; a term also
+counts by how much oftener toxic examples hold it than clean ones, shrunk towards 1, so that the few telling words are not
+drowned by hundreds of others. Lists of rare terms are added up exactly; for common terms the index knows the largest weight
+in each block of examples, and only examples whose bound reaches the nearest so far are looked at, so the neighbours are
 exact. Votes weighted by similarity are calibrated on the examples, each judged by the others. The nearest examples are
 the evidence.
 """
@@ -13,19 +14,24 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from tallyhouse.llm import base
 
 # Labelled rows per class that serve as examples, about: the index is as large whatever the size of the corpus.
 TOXIC, CLEAN = 3000, 6000
-# Terms kept, their least chi-squared value and their least number of examples.
-TERMS, LEAST_CHI2, LEAST_EXAMPLES = 4096, 30.0, 5
+# Cells for the document frequencies of terms that no example holds: they lengthen a vector and match nothing.
+UNSEEN = 1 << 20
+# Examples, dealt like the classes, that a term's counts are shrunk by.
+SHRINK = 5.0
 STEM = 5
 BLOCK = 32
+# A term is common that more than one in so many examples hold.
+COMMON = 8
 NEIGHBOURS = 15
 EVIDENCE = 3
 TOXIC_FROM = 0.5
-# Words and term combinations that a Python worker remembers.
+# Words that a Python worker remembers.
 REMEMBERED = 1 << 19
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -47,8 +53,8 @@ def _examples(docs, labels):
     return base.stored(rows, "examples"), {**others, **sizes}
 
 
-def telling_terms(examples):
-    """The terms that tell the classes apart, most telling first."""
+def example_terms(examples):
+    """All terms of the examples in order, with a worth of each: log2(1 + its rate in toxic over its rate in clean examples)."""
 
     def count(batches):
         found = [Counter(), Counter()]
@@ -56,25 +62,22 @@ def telling_terms(examples):
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 found[toxic].update({t for w in set(_WORD.findall(text.lower())) for t in word_terms(w)})
         terms = sorted(found[0].keys() | found[1].keys())
-        yield pd.DataFrame({"term": terms, "clean": [found[0][t] for t in terms], "toxic": [found[1][t] for t in terms]})
+        yield pd.DataFrame({"term": pd.Series(terms, dtype=object), "clean": [found[0][t] for t in terms], "toxic": [found[1][t] for t in terms]})
 
     sizes = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n0 or not n1:
-        return []
+        return [], np.empty(0)
     rows = examples.select("text", "toxic").mapInPandas(count, "term string, clean long, toxic long")
-    rows = rows.groupBy("term").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    # Chi-squared of the table of term by class.
-    chi2 = F.expr(
-        f"{float(n0 + n1)} * pow(t * {float(n0)} - c * {float(n1)}, 2) / ({float(n0)} * {float(n1)} * (t + c) * ({float(n0 + n1)} - t - c))"
-    )
-    rows = rows.where(F.expr(f"t + c >= {LEAST_EXAMPLES} and t + c < {n0 + n1}")).withColumn("chi2", chi2)
-    best = rows.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS)
-    return [r["term"] for r in best.collect()]
+    rows = rows.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    table = rows.orderBy("term").toArrow()
+    terms, clean, toxic = table["term"].to_pylist(), table["clean"].to_numpy(), table["toxic"].to_numpy()
+    rates = [(held + SHRINK * n / (n0 + n1)) / n for held, n in ((clean, n0), (toxic, n1))]
+    return terms, np.log2(1 + rates[1] / rates[0])
 
 
 class Terms(dict):
-    """Places of a word's terms in the vocabulary, worked out when first asked for."""
+    """Places of a word's terms, worked out when first asked for: in the vocabulary, or in a cell beyond it."""
 
     def __init__(self, terms):
         super().__init__()
@@ -83,9 +86,12 @@ class Terms(dict):
     def __missing__(self, word):
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[word] = tuple(self.places[t] for t in word_terms(word) if t in self.places)
+        found = self[word] = tuple(self.places[t] if t in self.places else self.beyond(t) for t in word_terms(word))
         return found
 
+    def beyond(self, term):
+        return len(self.places) + xxh3_64_intdigest(term) % UNSEEN
+
     def counts(self, text):
         """Term places of a text with their numbers, as a dictionary."""
         out = {}
@@ -96,78 +102,88 @@ class Terms(dict):
 
 
 def document_frequencies(docs, terms):
-    """(number of documents, documents per term), over all documents."""
+    """(number of documents, documents per place), over all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
+    # The last places hold the number of documents and nothing, up to a whole number of slices.
+    n_places = len(terms) + UNSEEN
+    width = (n_places // base.SLICES + 1) * base.SLICES
 
     def count(batches):
         own = Terms(shared.value)
-        table, n = np.zeros(len(shared.value), np.int64), 0
+        table = np.zeros(width, np.int64)
         for batch in batches:
-            n += len(batch)
+            table[n_places] += len(batch)
             for text in batch["text"]:
                 if text:
                     table[list({at for found in map(own.__getitem__, set(_WORD.findall(text.lower()))) for at in found})] += 1
-        at = np.flatnonzero(table)
-        yield pd.DataFrame({"place": np.r_[-1, at].astype(np.int32), "n": np.r_[n, table[at]]})
-
-    rows = docs.select("text").mapInPandas(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    total, table = 0, np.zeros(len(terms), np.int64)
-    for row in rows.collect():
-        if row["place"] < 0:
-            total = row["n"]
-        else:
-            table[row["place"]] = row["n"]
-    return total, table
+        yield pd.DataFrame(list(base.slices_of(table)), columns=["slice", "cells"])
+
+    def add(table, more):
+        table += more
+
+    table = base.merged_sketch(docs.select("text").mapInPandas(count, base.SLICE_SCHEMA), width, np.int64, add)
+    return int(table[n_places]), table[:n_places]
 
 
 def vector(counts, idf):
     """Unit TF-IDF vector as (places, weights), places ascending; empty without terms."""
     places = np.array(sorted(counts), np.int64)
-    weights = np.array([1 + np.log(counts[p]) for p in places]) * idf[places] if len(places) else np.empty(0)
+    weights = (1 + np.log(np.array([counts[p] for p in places.tolist()], float))) * idf[places] if len(places) else np.empty(0)
     norm = np.sqrt((weights**2).sum())
     return (places, weights / norm) if norm else (np.empty(0, np.int64), np.empty(0))
 
 
 class BlockMaxIndex:
-    """Inverted lists of the examples with, per term and block of examples, the largest weight."""
+    """Inverted lists of the examples; of common terms also the largest weight in each block of examples.
+
+    Places from `n_terms` on are of terms that no example holds.
+    """
 
     def __init__(self, vectors, n_terms):
-        self.n, self.n_blocks = len(vectors), -(-len(vectors) // BLOCK)
-        example = np.repeat(np.arange(self.n), [len(p) for p, _ in vectors])
+        self.n = len(vectors)
+        example = np.repeat(np.arange(self.n, dtype=np.int32), [len(p) for p, _ in vectors])
         place = np.concatenate([p for p, _ in vectors]) if self.n else np.empty(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if self.n else np.empty(0)
-        order = np.lexsort((example, place))
+        order = np.argsort(place, kind="stable")
         self.example, self.weight = example[order], weight[order]
-        # Where the list of a term begins in each block.
-        self.begin = np.searchsorted(
-            place[order] * (self.n_blocks + 1) + self.example // BLOCK,
-            np.arange(n_terms)[:, None] * (self.n_blocks + 1) + np.arange(self.n_blocks + 1)[None],
-        )
-        self.most = np.zeros((n_terms, self.n_blocks))
-        np.maximum.at(self.most, (place, example // BLOCK), weight)
-        self.blocks_scored = 0
+        self.begin = np.searchsorted(place[order], np.arange(n_terms + 1))
+        common = np.flatnonzero(np.diff(self.begin) > max(self.n // COMMON, BLOCK))
+        self.common = np.full(n_terms, -1, np.int32)
+        self.common[common] = np.arange(len(common))
+        self.dense = np.zeros((self.n, len(common)))
+        for number, term in enumerate(common):
+            part = slice(self.begin[term], self.begin[term + 1])
+            self.dense[self.example[part], number] = self.weight[part]
+        self.most = np.maximum.reduceat(self.dense, np.arange(0, self.n, BLOCK)) if self.n else self.dense
 
     def nearest(self, places, weights, k, but=-1):
         """The k examples of largest positive cosine as (examples, cosines); of equals the earlier. `but` is left out."""
-        bound = weights @ self.most[places]
-        order = np.argsort(-bound, kind="stable")
-        best_e, best_s = np.empty(0, np.int64), np.empty(0)
-        for block in order:
-            # A little slack covers the rounding of sums in another order.
-            if bound[block] <= 0 or len(best_e) == k and bound[block] < best_s[-1] - 1e-12:
-                break
-            self.blocks_scored += 1
-            score = np.zeros(BLOCK)
-            for place, weight in zip(places, weights):
-                part = slice(self.begin[place, block], self.begin[place, block + 1])
-                score[self.example[part] - block * BLOCK] += weight * self.weight[part]
-            at = np.flatnonzero(score > 0)
-            at = at[at + block * BLOCK != but]
-            best_e = np.concatenate([best_e, at + block * BLOCK])
-            best_s = np.concatenate([best_s, score[at]])
-            top = np.lexsort((best_e, -best_s))[:k]
-            best_e, best_s = best_e[top], best_s[top]
-        return best_e, best_s
+        if not self.n:
+            return np.empty(0, np.int64), np.empty(0)
+        held = places < len(self.common)
+        places, weights = places[held], weights[held]
+        number = self.common[places]
+        rare = number < 0
+        begin = self.begin[places[rare]]
+        length = self.begin[places[rare] + 1] - begin
+        at = np.repeat(begin - np.cumsum(length) + length, length) + np.arange(length.sum())
+        score = np.bincount(self.example[at], np.repeat(weights[rare], length) * self.weight[at], minlength=self.n).astype(float)
+        if 0 <= but:
+            score[but] = -np.inf
+        at = np.arange(self.n)
+        if not rare.all():
+            query = np.zeros(self.dense.shape[1])
+            query[number[~rare]] = weights[~rare]
+            bound = score + np.repeat(self.most @ query, BLOCK)[: self.n]
+            if k < self.n:
+                first = np.argpartition(-bound, k - 1)[:k]
+                # A little slack covers the rounding of sums in another order.
+                at = np.flatnonzero(bound >= (score[first] + self.dense[first] @ query).min() - 1e-9)
+            # Most of the rows are read where they lie, few are picked out.
+            score = score[at] + (self.dense[at] @ query if 4 * len(at) < self.n else (self.dense @ query)[at])
+        at, score = at[score > 0], score[score > 0]
+        top = np.lexsort((at, -score.round(12)))[:k]
+        return at[top], score[top]
 
 
 def vote(similar, toxic, weight):
@@ -185,13 +201,14 @@ def learn(docs, labels, corpus=None):
     spark = docs.sparkSession
     base.ship(spark)
     examples, sizes = _examples(docs, labels)
-    terms = telling_terms(examples)
+    terms, worth = example_terms(examples)
     prior = (sizes.get(1, 0) + 1) / (sizes.get(0, 0) + sizes.get(1, 0) + 2)
     model = {"terms": terms, "prior": prior}
     if not terms:
         return model
     total, df = document_frequencies(corpus if corpus is not None else docs, terms)
-    model["idf"] = idf = np.log((total + 1) / (df + 1)) + 1
+    model["idf"] = idf = np.log((total + 1) / np.minimum(df + 1, total + 1)) + 1
+    idf[: len(terms)] *= worth
     shared = spark.sparkContext.broadcast((terms, idf))
 
     def vectors(batches):
@@ -200,27 +217,29 @@ def learn(docs, labels, corpus=None):
             found = [vector(own.counts(t), shared.value[1]) for t in batch["text"]]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "toxic": batch["toxic"],
-                "places": pd.Series([p.tolist() for p, _ in found], dtype=object),
-                "weights": pd.Series([w.tolist() for _, w in found], dtype=object),
+                "places": [p.tobytes() for p, _ in found], "weights": [w.tobytes() for _, w in found],
             })
 
-    rows = examples.mapInPandas(vectors, "doc_id long, toxic int, places array<long>, weights array<double>").collect()
+    rows = examples.mapInPandas(vectors, "doc_id long, toxic int, places binary, weights binary").collect()
+    rows = [
+        {**r.asDict(), "places": np.frombuffer(r["places"], np.int64), "weights": np.frombuffer(r["weights"])} for r in rows
+    ]
     # Examples of one leading term lie together, which makes the bounds of blocks tight.
-    lead = lambda r: r["places"][int(np.argmax(r["weights"]))] if r["places"] else -1
+    lead = lambda r: r["places"][int(np.argmax(r["weights"]))] if len(r["places"]) else -1
     rows.sort(key=lambda r: (lead(r), r["doc_id"]))
     picked = Counter(r["toxic"] for r in rows)
     stands_for = {c: sizes[c] / picked[c] for c in picked}
-    plain = [r for r in rows if not r["places"]]
-    rows = [r for r in rows if r["places"]]
+    plain = [r for r in rows if not len(r["places"])]
+    rows = [r for r in rows if len(r["places"])]
     model |= {
         "ids": np.array([r["doc_id"] for r in rows]), "toxic": np.array([r["toxic"] for r in rows], float),
         "weight": np.array([stands_for[r["toxic"]] for r in rows]),
-        "index": BlockMaxIndex([(np.array(r["places"]), np.array(r["weights"])) for r in rows], len(terms)),
+        "index": BlockMaxIndex([(r["places"], r["weights"]) for r in rows], len(terms)),
     }
     shares = [sum(stands_for[r["toxic"]] for r in plain if r["toxic"] == c) for c in (0, 1)]
     # Texts without any term are each other's neighbours.
     model["without"] = (shares[1] + prior) / (sum(shares) + 1)
-    model["curve"] = calibration(model, [(np.array(r["places"]), np.array(r["weights"])) for r in rows])
+    model["curve"] = calibration(model, [(r["places"], r["weights"]) for r in rows])
     return model
 
 
@@ -252,10 +271,10 @@ def calibration(model, vectors):
 
 
 class Scorer:
-    """Scores of texts, remembering combinations of terms seen before."""
+    """Scores of texts."""
 
     def __init__(self, model):
-        self.model, self.terms, self.seen = model, Terms(model["terms"]), {}
+        self.model, self.terms = model, Terms(model["terms"])
 
     def score(self, text):
         """(score, ids of the nearest examples, their similarities); null is the empty text."""
@@ -263,18 +282,13 @@ class Scorer:
         counts = self.terms.counts(text or "") if model["terms"] else {}
         if not counts:
             return model.get("without", model["prior"]), [], []
-        key = tuple(sorted(counts.items()))
-        if key not in self.seen:
-            if len(self.seen) >= REMEMBERED // 8:
-                self.seen.clear()
-            near, similar = model["index"].nearest(*vector(counts, model["idf"]), NEIGHBOURS)
-            if len(near):
-                share = vote(similar, model["toxic"][near], model["weight"][near])
-                score = float(np.interp(share, *model["curve"]))
-            else:
-                score = model["without"]
-            self.seen[key] = score, model["ids"][near[:EVIDENCE]].tolist(), similar[:EVIDENCE].round(6).tolist()
-        return self.seen[key]
+        near, similar = model["index"].nearest(*vector(counts, model["idf"]), NEIGHBOURS)
+        if not len(near):
+            return model["without"], [], []
+        share = vote(similar, model["toxic"][near], model["weight"][near])
+        return (
+            float(np.interp(share, *model["curve"])), model["ids"][near[:EVIDENCE]].tolist(), similar[:EVIDENCE].round(6).tolist()
+        )
 
 
 REPORT = (
@@ -285,8 +299,8 @@ REPORT = (
 def toxicity_report(docs, model, held_out):
     """One row per document: doc_id, held_out, score, predicted (1 from TOXIC_FROM on), nearest and similarities (evidence).
 
-    `docs` needs doc_id and text. Texts are read whole. A text that shares no term with the vocabulary, an empty or a null
-    one included, has no neighbours; its score is the share of toxic among such examples. Ids may be null or repeated. An
+    `docs` needs doc_id and text. Texts are read whole. A text that shares no term with any example, an empty or a null one
+    included, has no neighbours; its score is the share of toxic among examples without terms. Ids may be null or repeated. An
     empty table gives an empty result.
     """
     spark = docs.sparkSession

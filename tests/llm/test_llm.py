@@ -266,6 +266,29 @@ def test_toxicity_index_is_exact_and_learns(edges, empty, spark):
     assert {r.score for r in toxicity.toxicity_report(edges, none, held_out).collect()} == {0.5}
 
 
+def test_toxicity_searches_every_text_over_all_terms(spark):
+    rows = [(i, " ".join(words(20))) for i in range(30)] + [(100 + i, f"vile{'abcd'[i]} brute oaf " + " ".join(words(8))) for i in range(4)]
+    probes = [(200, "brute oaf " + " ".join(words(8))), (201, " ".join(words(20))), (202, "vilea"), (203, "vilea nothing like it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, docs.select("doc_id", (F.col("doc_id") >= 100).cast("int").alias("toxic")))
+    got = {r.doc_id: r for r in toxicity.toxicity_report(spark.createDataFrame(probes, docs.schema), model, F.lit(True)).collect()}
+    assert set(got[200].nearest) < {100, 101, 102, 103} and got[200].predicted == 1 and got[201].predicted == 0
+    # One word of one example is enough to be found by it; words of no example lengthen the vector.
+    assert list(got[202].nearest) == list(got[203].nearest) == [100]
+    assert got[203].similarities[0] < 0.7 * got[202].similarities[0]
+    rng = np.random.default_rng(8)
+    vectors = [toxicity.vector({int(p): int(p) % 3 + 1 for p in rng.choice(40, 12, replace=False)}, np.ones(60)) for _ in range(300)]
+    index = toxicity.BlockMaxIndex(vectors, 40)
+    assert index.dense.shape[1] == 40
+    dense = np.zeros((300, 60))
+    for i, (p, w) in enumerate(vectors):
+        dense[i, p] = w
+    for i, (p, w) in enumerate(vectors[:40]):
+        score = np.delete(dense, i, 0)[:, p] @ w
+        near, similar = index.nearest(np.append(p, 50), np.append(w, 1.0), 9, but=i)
+        assert i not in near and np.allclose(similar, -np.sort(-score)[:9])
+
+
 PAGE = (
     "<html><head><title>T</title><script>var a='</p>';</script></head><body><nav><a href=x>Home</a></nav>"
     "<div class='ad'>Buy the thing now.</div><article><h1>A &amp; B</h1><p>First\n  block <b>bold</b>.<br><p>Second &lt;x&gt;</p>"
