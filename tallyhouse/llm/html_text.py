@@ -1,8 +1,8 @@
 """Main text of web pages by two passes over blocks.
 
-Pass 1 gives every block a label by its own words: links, length and stop words decide, as do containers that say what
-they are (navigation, forms, adverts, comments, ... or the article). Short blocks and middling ones stay open. Pass 2
-lets open blocks inherit from the nearest decided neighbours on both sides.
+Pass 1 weighs every block: links, length and stop words of its own, and as evidence the containers that say what they are
+(navigation, forms, adverts, comments, ... or the article). Short blocks and middling ones stay open. Pass 2 lets open
+blocks inherit from the nearest decided neighbours on both sides.
 """
 
 import html
@@ -63,6 +63,9 @@ STOP_WORDS = frozenset(
 LINKS_AT_MOST = 0.2
 SHORT, LONG = 70, 200
 STOPS_LOW, STOPS_HIGH = 0.30, 0.32
+# Weights of a block's own words, and of where it stands. A sum above 0 is good, below 0 bad.
+LONG_PROSE, FEW_STOPS, SHORT_LINKED, LINKS = 2, -1, -1, -3
+IN_ARTICLE, BESIDE_ARTICLE, IN_AROUND = 2, -1, -3
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S
@@ -82,6 +85,15 @@ class Block:
         self.text, self.linked, self.inside, self.around, self.label = text, linked, inside, around, None
 
 
+class Container:
+    """An open or closed container: whether it marks what stands around the text, is an article, and its unlinked characters."""
+
+    __slots__ = ("name", "mark", "article", "chars")
+
+    def __init__(self, name, mark, article):
+        self.name, self.mark, self.article, self.chars = name, mark, article, 0
+
+
 def _says_around(name, attributes, in_article):
     if name in AROUND_TEXT or name == "header" and not in_article:
         return True
@@ -97,15 +109,16 @@ def _says_around(name, attributes, in_article):
 def blocks(page):
     """The blocks of a page in order. Broken markup is read as far as it goes."""
     out, text, linked = [], [], 0
-    # Open containers: (name, marks what stands around the text, is the article).
-    stack, around, inside = [], 0, 0
+    # Open containers, and those that each block stands in.
+    stack, inside, places = [], 0, []
     links, at = 0, 0
 
     def close():
         nonlocal text, linked
         joined = _SPACE.sub(" ", "".join(text)).strip()
         if joined:
-            out.append(Block(joined, min(linked, len(joined)), inside > 0, around > 0))
+            out.append(Block(joined, min(linked, len(joined)), False, False))
+            places.append(tuple(c for c in stack if c.mark or c.article))
         text, linked = [], 0
 
     def take(raw):
@@ -151,39 +164,63 @@ def blocks(page):
             if tag.group(3).endswith("/") and name in VOID:
                 continue
             mark = _says_around(name, tag.group(3), inside > 0) and name not in ("article", "main", "body")
-            stack.append((name, mark, name in ("article", "main")))
-            around += mark
+            stack.append(Container(name, mark, name in ("article", "main")))
             inside += name in ("article", "main")
-        elif any(name == s[0] for s in stack):
+        elif any(name == c.name for c in stack):
             while True:
-                opened, mark, article = stack.pop()
-                around -= mark
-                inside -= article
-                if opened == name:
+                closed = stack.pop()
+                inside -= closed.article
+                if closed.name == name:
                     break
     close()
+    weigh_containers(out, places)
     return out
 
 
+def weigh_containers(parts, places):
+    """Set `inside` and `around` of blocks from the containers that they stand in.
+
+    A mark says nothing on a container of the largest article or, without one, of most of the page's text. Articles say
+    nothing if most text outside marked containers stands outside them too, as teasers beside a body do.
+    """
+    total, holders = 0, {}
+    for block, held in zip(parts, places):
+        total += len(block.text) - block.linked
+        for k, container in enumerate(held):
+            container.chars += len(block.text) - block.linked
+            holders[container] = held[:k]
+    largest = max((c for c in holders if c.article), key=lambda c: c.chars, default=None)
+    for container in holders:
+        if container.mark and (container in holders[largest] if largest else 2 * container.chars > total):
+            container.mark = False
+    free = within = 0
+    for block, held in zip(parts, places):
+        block.around, block.inside = any(c.mark for c in held), any(c.article for c in held)
+        if not block.around:
+            free += len(block.text) - block.linked
+            within += block.inside * (len(block.text) - block.linked)
+    if 2 * within < free:
+        for block in parts:
+            block.inside = False
+
+
 def first_pass(parts):
-    """Label blocks as good, bad, near (middling) or short."""
+    """Label blocks as good, bad, near (middling) or short, by their own words and by the containers as evidence."""
     has_article = any(b.inside and not b.around for b in parts)
     for block in parts:
         words = _WORD.findall(block.text.lower())
-        links = block.linked / len(block.text)
         stops = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-        if block.around:
-            block.label = "bad"
-        elif block.inside:
-            block.label = "good"
-        elif has_article or links > LINKS_AT_MOST:
-            block.label = "bad"
-        elif len(block.text) < SHORT:
-            block.label = "bad" if block.linked else "short"
+        short = len(block.text) < SHORT
+        if block.linked / len(block.text) > LINKS_AT_MOST:
+            weight = LINKS
+        elif short:
+            weight = SHORT_LINKED if block.linked else 0
         elif stops >= STOPS_HIGH:
-            block.label = "good" if len(block.text) > LONG else "near"
+            weight = LONG_PROSE if len(block.text) > LONG else 0
         else:
-            block.label = "near" if stops >= STOPS_LOW else "bad"
+            weight = 0 if stops >= STOPS_LOW else FEW_STOPS
+        weight += IN_AROUND if block.around else IN_ARTICLE if block.inside else BESIDE_ARTICLE if has_article else 0
+        block.label = "good" if weight > 0 else "bad" if weight < 0 else "short" if short else "near"
 
 
 def second_pass(parts):

@@ -308,6 +308,20 @@ def test_html_text(spark):
     assert html_text.extracted(pages.limit(0)).count() == 0
 
 
+def test_html_markup_is_evidence_only():
+    prose = "This is a text of the kind that one would find in the middle of a page, and it is about as long as it has to be. " * 3
+    own, links = prose.strip(), "<ul><li><a href=1>Next one</a><li><a href=2>And the one after it</a></ul>"
+    # A teaser beside a body in div, one wrapper with a telling class, a form around a page, a link list in the article.
+    teaser = f"<div><p>{prose}</p><p>{prose}</p></div><article class=card><a href=x>Other story</a></article>"
+    assert html_text.main_text(teaser) == f"{own}\n{own}"
+    assert html_text.main_text(f"<div class='page sidebar'><nav>{links}</nav><article><p>{prose}</p></article></div>") == own
+    assert html_text.main_text(f"<form id=search><div>{links}<p>{prose}</p></div></form><footer>All is ours</footer>") == own
+    assert html_text.main_text(f"<article><h1>Head</h1><p>{prose}</p>{links}</article>") == f"Head\n{own}"
+    comments = "<div class=comments><article><p>I am of another mind.</p></article></div>"
+    assert html_text.main_text(f"<article><p>{prose}</p></article>{comments}") == own
+    assert html_text.main_text(f"<main><p>{prose}</p></main><div><p>{prose}</p></div><div>Short.</div>") == f"{own}\n{own}"
+
+
 def brute_rules(text):
     own, text = split(text), text or ""
     runs = [tuple(own[i : i + 3]) for i in range(len(own) - 2)]
