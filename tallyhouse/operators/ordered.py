@@ -6,29 +6,31 @@ splits it; where the calendar bounds it (daily sums of one series, months) it
 does not.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.numbers import rounded_ratio
-from tallyhouse.operators.joins import fits_broadcast, lookup_join
+from tallyhouse.operators.joins import lookup_join
 
 MAX_GROUP_ROWS = 1_000_000
 COPIES_PER_TASK = 100_000
 BLOCK_ROWS = 100_000
-BANDS_PER_OCTAVE = 1024
+RANK_PARTS = 200
 
 
 def split_large_groups(df, keys, max_group_rows=MAX_GROUP_ROWS):
-    """Rows of ordinary groups and rows of groups above the limit; the second is None if there are none.
+    """Rows of ordinary groups and rows of groups above the limit, both as plans; nothing runs here.
 
-    Group sizes come from one narrow aggregate. At most rows / max_group_rows
-    keys are large, so they are safe to broadcast at any scale.
+    Group sizes come from one narrow aggregate. Without large groups the second plan turns out empty while it runs, and the
+    adaptive planner leaves out all that would follow.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > max_group_rows).select(*keys)
-    if large.isEmpty():
-        return df, None
-    return tuple(lookup_join(df, large, keys, how, null_safe=True, broadcast=True) for how in ("left_anti", "left_semi"))
+    large = sizes.where(F.col("_rows") > max_group_rows).select(*[F.col(k).alias(f"_{k}_ref") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}_ref")) for k in keys])
+    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
 
 
 def total_order(df, partition, order):
@@ -47,9 +49,7 @@ def number_lines(df, partition, order, *, name="transaction_line_number", max_gr
     plain, large = split_large_groups(df, partition, max_group_rows)
     over = Window.partitionBy(*partition).orderBy(*total_order(df, partition, order))
     plain = plain.withColumn(name, F.row_number().over(over).cast("bigint"))
-    if large is not None:
-        plain = plain.unionByName(_number_large(large, partition, order, name))
-    return plain
+    return plain.unionByName(_number_large(large, partition, order, name))
 
 
 def _number_large(df, partition, order, name):
@@ -101,15 +101,14 @@ def trailing_avg(df, keys, order, value, n=7, *, name="trailing_avg", total="tra
         return rows.withColumns({total: F.sum(value).over(over), count: F.count(value).over(over)})
 
     out = means(plain, keys, total_order(df, keys, [order]))
-    if large is not None:
-        numbered = number_lines(large, keys, [order], name="_n", max_group_rows=max_group_rows)
-        block = F.floor((F.col("_n") - 1) / BLOCK_ROWS)
-        own = numbered.withColumns({"_block": block, "_own": F.lit(True)})
-        tail = own.where(F.pmod(F.col("_n") - 1, F.lit(BLOCK_ROWS)) >= BLOCK_ROWS - (n - 1))
-        blocks = own.unionByName(tail.withColumns({"_block": F.col("_block") + 1, "_own": F.lit(False)}))
-        split = means(blocks, [*keys, "_block"], ["_n"]).where("_own").drop("_n", "_block", "_own")
-        out = out.unionByName(split)
-    return out.withColumn(name, rounded_ratio(total, count, 6))
+    # All of these series are large: they are numbered from counts right away.
+    numbered = _number_large(large, keys, [order], "_n")
+    block = F.floor((F.col("_n") - 1) / BLOCK_ROWS)
+    own = numbered.withColumns({"_block": block, "_own": F.lit(True)})
+    tail = own.where(F.pmod(F.col("_n") - 1, F.lit(BLOCK_ROWS)) >= BLOCK_ROWS - (n - 1))
+    blocks = own.unionByName(tail.withColumns({"_block": F.col("_block") + 1, "_own": F.lit(False)}))
+    split = means(blocks, [*keys, "_block"], ["_n"]).where("_own").drop("_n", "_block", "_own")
+    return out.unionByName(split).withColumn(name, rounded_ratio(total, count, 6))
 
 
 def roll_forward(df, keys, order, opening, received, consumed, *, names=("opening_stock", "closing_stock")):
@@ -148,25 +147,26 @@ def period_growth(df, period, value, *, name="growth_pct"):
     )
 
 
-def rank_by(df, value, *, name="rank"):
+def rank_by(df, value, *, name="rank", parts=RANK_PARTS):
     """Rank by a value, highest first, ties sharing a rank, NULLs last; no task sees all rows.
 
-    Equal values collapse to a count. Values fall into bands a thousandth of an
-    octave wide; only the bands (bounded by the number range) are ranked
-    together, values are ranked inside their band.
+    Equal values collapse to a count. Cut points from a quantile sketch deal the distinct values into `parts` ranges of
+    nearly equal size, however the values lie; ranks are formed inside a range, and the rows of all higher ranges, a table
+    of `parts` numbers, are added. The cut points only place the work: ranks don't depend on them.
     """
-    v = F.col(value).cast("double")
-    band = F.coalesce(
-        (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * BANDS_PER_OCTAVE)).cast("bigint"), F.lit(-(2**40))
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    cuts = counts.agg(F.percentile_approx(value, shares, F.lit(parts * 50)).alias("_cuts"))
+    higher = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut > F.col(value))), F.lit(0))
+    counts = counts.crossJoin(F.broadcast(cuts)).withColumn("_part", F.when(F.col(value).isNull(), parts).otherwise(higher))
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("_part").agg(F.sum("_n").alias("_n")).select(
+        F.col("_part").alias("_own"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
     )
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_band", band)
-    bands = counts.groupBy("_band").agg(F.sum("_n").alias("_n"))
-    above = Window.orderBy(F.desc("_band")).rowsBetween(Window.unboundedPreceding, -1)
-    bands = bands.select("_band", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
-    within = Window.partitionBy("_band").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    # The number of bands is bounded: 1024 per octave over the range of a double.
-    ranked = lookup_join(counts, bands, ["_band"], "inner", broadcast=True).select(
-        value, (F.lit(1) + F.col("_above") + F.coalesce(F.sum("_n").over(within), F.lit(0))).alias(name)
+    within = Window.partitionBy("_part").orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
+    # At most `parts` + 1 rows.
+    ranked = counts.join(F.broadcast(totals), F.col("_part") == F.col("_own")).select(
+        F.col(value).alias("_value"),
+        (F.lit(1) + F.col("_above") + F.coalesce(F.sum("_n").over(within), F.lit(0))).alias(name),
     )
-    small = fits_broadcast(ranked, count=False)
-    return lookup_join(df, ranked, [value], "inner", null_safe=True, broadcast=small)
+    return df.join(ranked, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyhouse import fixed_values as fixed
 from tallyhouse.functions.calendar import calendar_columns, date_spine
 from tallyhouse.functions.keys import surrogate_key
+from tallyhouse.operators.intervals import versions_by_interval
 from tallyhouse.operators.joins import lookup_join
 
 
@@ -91,6 +92,22 @@ def build_dim_product(lines, costs, *, as_of=None):
     )
 
 
+def build_dim_product_versions(lines, costs):
+    """Products sold with one row for each elementary interval of their costs: of overlapping versions the last to start.
+
+    Intervals of a product are disjoint, so a lookup by product and day finds one row at most, and `version_key` (product
+    and first day) is unique. A product without a cost has one row without bounds.
+    """
+    own = costs.select("product_name", "unit_cost", "valid_from", "valid_to")
+    versions = versions_by_interval(own, ["product_name"], latest=True).select(
+        "product_name", "unit_cost", F.col("seg_from").alias("valid_from"), F.col("seg_to").alias("valid_to")
+    )
+    return product_attributes(lines).join(versions, "product_name", "left").select(
+        surrogate_key("product_name", "valid_from").alias("version_key"),
+        "product_name", "product_category", "product_type", "product_group", "unit_cost", "valid_from", "valid_to",
+    )
+
+
 def build_dim_ingredient(bom):
     """Ingredients of the recipes; differing units or costs give several rows."""
     return (

@@ -82,14 +82,18 @@ def order_value(gold):
     )
 
 
-def labor_share(gold):
-    """Labor cost over revenue as a ratio of sums, its status, and revenue per hour worked."""
-    share = rate_or_zero("_cost", "_revenue")
-    status = (
-        F.when(F.col("labor_cost_rate") * 100 > fixed.LABOR_OVER, "OVER TARGET")
-        .when(F.col("labor_cost_rate") * 100 > fixed.LABOR_WATCH, "WATCH")
+def labor_cost_status(rate="labor_cost_rate"):
+    """Class of a labor share given as a fraction."""
+    return (
+        F.when(F.col(rate) * 100 > fixed.LABOR_OVER, "OVER TARGET")
+        .when(F.col(rate) * 100 > fixed.LABOR_WATCH, "WATCH")
         .otherwise("ON TARGET")
     )
+
+
+def labor_share(gold):
+    """Labor cost over revenue as a ratio of sums, and its status."""
+    share = rate_or_zero("_cost", "_revenue")
     return (
         gold["fct_labor"]
         .agg(
@@ -99,7 +103,7 @@ def labor_share(gold):
         .select(
             F.col("_cost").alias("labor_cost"), F.col("_revenue").alias("labor_revenue"), share.alias("labor_cost_rate")
         )
-        .withColumn("labor_cost_status", status)
+        .withColumn("labor_cost_status", labor_cost_status())
     )
 
 

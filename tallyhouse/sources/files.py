@@ -18,3 +18,9 @@ def list_names(spark, path, suffix=""):
     if not fs.exists(target):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.getPath().getName().endswith(suffix))
+
+
+def delete(spark, path):
+    """Remove a file or a folder with all below it."""
+    fs, target = hadoop_path(spark, path)
+    return fs.delete(target, True)

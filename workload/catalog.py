@@ -5,18 +5,20 @@ both engines return the same schema.
 """
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import covered_days
 from tallyhouse.functions.keys import surrogate_key
 from tallyhouse.functions.numbers import mean, money
 from tallyhouse.functions.text import size_code, without_size
-from tallyhouse.operators import constraints, joins, ordered, snapshot, staging
-from tallyhouse.plans import diagnostics, dimensions, facts, generate, intermediate, kpis, quality, reports
+from tallyhouse.operators import constraints, intervals, joins, ordered, snapshot, staging
+from tallyhouse.plans import cube, diagnostics, dimensions, facts, generate, intermediate, kpis, quality, reports
 from tallyhouse.sources import audit, bronze, gold, landing
 from workload.oracle import mean as o_mean
-from workload.oracle import key, percent, rate, ratio, sql, total
+from workload.oracle import key, percent, rate, ratio, sql, total, zero
 from workload.scratch import scratch_folder
 
 QUERIES = {}
@@ -219,6 +221,29 @@ query("jn_02_validity_join", """select l.transaction_id, l.product_name, l.trans
     )
 )
 
+# Hundreds of versions per product, overlapping: the interval index gives the same rows as comparing all versions.
+VERSIONS = """from lines l left join b_cost_versions c on l.product_name = c.product_name
+ and l.transaction_date between c.valid_from and c.valid_to"""
+VERSIONED_LINES = ("transaction_id", "product_id", "product_name", "transaction_date")
+query("jn_02_interval_index", f"select l.transaction_id, l.product_id, l.product_name, l.transaction_date, c.unit_cost, "
+      f"c.valid_from, c.valid_to {VERSIONS}")(
+    lambda t: intervals.join_valid_indexed(t.lines.select(*VERSIONED_LINES), t.b_cost_versions)
+)
+# Each line once, with the version that started last.
+query("jn_02_interval_latest", """select l.transaction_id, l.product_id, l.product_name, l.transaction_date, c.unit_cost,
+ c.valid_from, c.valid_to from lines l left join (
+ select d.product_name, d.transaction_date, max(c.valid_from) valid_from from (select distinct product_name, transaction_date from lines) d
+ join b_cost_versions c on d.product_name = c.product_name and d.transaction_date between c.valid_from and c.valid_to group by 1, 2) b
+ on l.product_name = b.product_name and l.transaction_date = b.transaction_date
+ left join b_cost_versions c on b.product_name = c.product_name and b.valid_from = c.valid_from""")(
+    lambda t: intervals.join_valid_indexed(t.lines.select(*VERSIONED_LINES), t.b_cost_versions, latest=True)
+)
+BOUNDARIES = """select product_name, b seg_from, lead(b) over (partition by product_name order by b) - 1 seg_to from (
+ select product_name, valid_from b from b_cost_versions union select product_name, valid_to + 1 from b_cost_versions)"""
+query("jn_02_interval_overlaps", f"""select s.product_name, s.seg_from, s.seg_to, count(*) n_versions from ({BOUNDARIES}) s
+ join b_cost_versions c on s.product_name = c.product_name and c.valid_from <= s.seg_from and c.valid_to >= s.seg_to
+ group by 1, 2, 3 having count(*) > 1""")(lambda t: intervals.overlaps(t.b_cost_versions, ["product_name"]))
+
 query("jn_03_bom_explosion", """select u.transaction_date, u.store_id, u.product_name, u.total_qty_sold, b.ingredient_name,
  b.qty_required_per_unit from units u join stg_bom b on u.product_name = b.product_name""")(
     lambda t: joins.explode_bom(
@@ -603,12 +628,24 @@ query("dim_02_store", "select * from dim_store")(lambda t: dimensions.build_dim_
 query("dim_03_product", "select * from dim_product")(
     lambda t: dimensions.build_dim_product(t.lines, t.stg_costs)
 )
+query("dim_03_product_versions", f"""select {key('p.product_name', 'v.seg_from')} version_key, p.*, v.unit_cost, v.seg_from valid_from,
+ v.seg_to valid_to from pos_products p left join (
+ select s.product_name, s.seg_from, s.seg_to, arg_max(c.unit_cost, c.valid_from) unit_cost from ({BOUNDARIES}) s
+ join b_cost_versions c on s.product_name = c.product_name and c.valid_from <= s.seg_from and c.valid_to >= s.seg_to
+ group by 1, 2, 3) v on p.product_name = v.product_name""")(
+    lambda t: dimensions.build_dim_product_versions(t.lines, t.b_cost_versions)
+)
 query("dim_04_ingredient", "select * from dim_ingredient")(lambda t: t.dim_ingredient)
 query("fct_01_sales", "select * from fct_sales")(lambda t: t.fct_sales)
 query("fct_02_waste", "select * from fct_waste")(lambda t: t.fct_waste)
 query("fct_03_labor", "select * from fct_labor")(lambda t: t.fct_labor)
 query("fct_04_inventory_snapshot", "select * from fct_inventory_snapshot")(lambda t: t.fct_inventory_snapshot)
 
+# Stored facts of an earlier state of the inputs, brought up to date day by day.
+for label, fact in (("01_sales", "fct_sales"), ("02_waste", "fct_waste"), ("03_labor", "fct_labor"),
+                    ("04_inventory", "fct_inventory_snapshot")):
+    query(f"fct_{label}_rebuilt", f"select * from {fact}")(lambda t, fact=fact: t.rebuilt(fact))
+
 # ---- quality gates -------------------------------------------------------------------------------
 
 query("dq_01_row_count", """select ingestion_date, count(*) row_count, count(distinct store_id) store_count,
@@ -833,6 +870,64 @@ query("kpi_14_sliced_sales", f"""select {total('gross_revenue')} revenue, {total
     )
 )
 
+# The four facts behind the slicers, all from one stored cube; the date range has a ragged end on either side.
+SLICERS = {"stores": ["Astoria", "Lower Manhattan"], "date_from": "2023-02-10", "date_to": "2023-05-20"}
+SLICED = "full_date between date '2023-02-10' and date '2023-05-20' and store_name in ('Astoria', 'Lower Manhattan')"
+CATEGORIES = ["ECONOMY", "SMALL", "PROMO"]
+INGREDIENT_SLICE = ["milk_ml", "flour_g", "syrup_ml"]
+MEMBERS = "join dim_date using (date_key) join dim_store using (store_key)"
+
+query("kpi_14_cube_sales", f"""select year_month, store_name, product_category category, {total('gross_revenue')} revenue,
+ {total('gross_profit')} gross_profit, {GM} gross_margin_rate from fct_sales {MEMBERS} join dim_product using (product_key)
+ where {SLICED} and product_category in ('ECONOMY', 'SMALL', 'PROMO') group by 1, 2, 3""")(
+    lambda t: cube.sales(t.kpi_cube, items=CATEGORIES, by=("year_month", "store_name", "item"), **SLICERS)
+    .withColumnRenamed("item", "category")
+)
+query("kpi_14_cube_sales_all", f"select {total('gross_revenue')} revenue, {total('gross_profit')} gross_profit, "
+      f"{GM} gross_margin_rate from fct_sales")(lambda t: cube.sales(t.kpi_cube))
+query("kpi_14_cube_labor", f"""select *, case when labor_cost_rate * 100 > 35 then 'OVER TARGET'
+ when labor_cost_rate * 100 > 30 then 'WATCH' else 'ON TARGET' end labor_cost_status
+ from (select {total('total_labor_cost')} labor_cost, {total('daily_revenue')} labor_revenue, {LABOR_RATE} labor_cost_rate,
+ {total('total_hours_worked', 1)} hours_worked, {rate('sum(daily_revenue)', 'sum(total_hours_worked)', 2)} revenue_per_labor_hour
+ from fct_labor {MEMBERS} where {SLICED})""")(lambda t: cube.labor(t.kpi_cube, **SLICERS))
+query("kpi_14_cube_waste", f"""select year_month, ingredient_name, {WASTE} from fct_waste {MEMBERS} where {SLICED}
+ and ingredient_name in ('milk_ml', 'flour_g', 'syrup_ml') group by 1, 2""")(
+    lambda t: cube.waste(t.kpi_cube, items=INGREDIENT_SLICE, by=("year_month", "item"), **SLICERS)
+    .withColumnRenamed("item", "ingredient_name")
+)
+SLICED_STOCK = f"(select * from fct_inventory_snapshot {MEMBERS} where {SLICED})"
+query("kpi_14_cube_inventory", f"""select store_name, {DAYS} avg_days_inventory, {total('units_received')} units_received,
+ (select max(snapshot_date) from {SLICED_STOCK}) snapshot_date,
+ {zero('cast(sum(closing_stock) filter (where snapshot_date = (select max(snapshot_date) from ' + SLICED_STOCK
+       + ')) as decimal(24,2))', 'decimal(24,2)')} closing_stock,
+ count(*) filter (where stockout_risk_flag = 'HIGH' and snapshot_date = (select max(snapshot_date) from {SLICED_STOCK})) stockout_high_count
+ from {SLICED_STOCK} group by 1""")(lambda t: cube.inventory(t.kpi_cube, by=("store_name",), **SLICERS))
+ORDER_LEVELS = {
+    "month": ("year_month", "join dim_date using (date_key)"),
+    "store": ("store_name", "join dim_store using (store_key)"),
+    "category": ("item", "join dim_product using (product_key)"),
+    "total": (None, ""),
+}
+AOV = f"""count(distinct transaction_id) orders, {total('gross_revenue')} revenue,
+ {rate('sum(gross_revenue)', 'count(distinct transaction_id)', 2)} average_order_value"""
+
+
+@query("kpi_03_orders_rolled_up", " union all ".join(
+    f"""select '{level}' split_by, {'product_category' if column == 'item' else column or "'all'"} member, {AOV}
+ from fct_sales {relation} {'group by all' if column else ''}""" for level, (column, relation) in ORDER_LEVELS.items()
+))
+def orders_rolled_up(t):
+    """Distinct orders by month, store, category and in total, from one stored table of bitmaps."""
+    parts = []
+    for level, (column, _) in ORDER_LEVELS.items():
+        found = cube.order_values(t.kpi_cube, t.order_cube, by=(column,) if column else ())
+        member = F.col(column) if column else F.lit("all")
+        parts.append(found.select(
+            F.lit(level).alias("split_by"), member.alias("member"), "orders", "revenue", "average_order_value"
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- generators over catalogs derived from the tables --------------------------------------------
 
 

@@ -28,6 +28,12 @@ select p_name product_name, min(p_type) product_category,
  cast(cast(case when min(p_partkey) % 13 = 0 then 120 else 15 + min(p_partkey) % 40 end as int) * cast(0.01 as decimal(3,2)) as decimal(6,4)) cogs_pct,
  date'2023-01-01' valid_from, date'2023-12-31' valid_to, 'ERP' source_system, '2023-06-15' ingestion_date
 from {part} group by p_name having min(p_partkey) % 10 <> 0""",
+    # Dozens to hundreds of price versions for each product, many of them overlapping.
+    "b_cost_versions": """
+select p.p_name product_name, date_add(date'2023-01-01', cast(l.l_orderkey % 181 as int)) valid_from,
+ max(date_add(date'2023-01-01', cast(l.l_orderkey % 181 + l.l_suppkey % 9 as int))) valid_to,
+ cast(cast(min(p.p_retailprice) as decimal(10,2)) * cast(cast(15 + 5 * min(l.l_linenumber) as int) * cast(0.01 as decimal(3,2)) as decimal(10,4)) as decimal(10,4)) unit_cost
+from {lineitem} l join {part} p on l.l_partkey = p.p_partkey where l.l_orderkey % 3 <> 0 group by 1, 2""",
     # Product x ingredient, about a third of the pairs.
     "b_bom": """
 select product_name, case i when 0 then 'milk_ml' when 1 then 'grounds_g' when 2 then 'syrup_ml' when 3 then 'flour_g' else 'sugar_g' end ingredient_name,
