@@ -19,6 +19,7 @@ MAX_GROUP_ROWS = 1_000_000
 COPIES_PER_TASK = 100_000
 BLOCK_ROWS = 100_000
 RANK_PARTS = 200
+CARRY_DAYS = 64
 
 
 def split_large_groups(df, keys, max_group_rows=MAX_GROUP_ROWS):
@@ -134,6 +135,54 @@ def roll_forward(df, keys, order, opening, received, consumed, *, names=("openin
     )
 
 
+def carry_forward(df, keys, order, opening, received, consumed, *, last=None, block_days=CARRY_DAYS,
+                  names=("opening_stock", "closing_stock")):
+    """Stock per day as `roll_forward` gives it, in blocks of days and carried on from stored closings.
+
+    A day turns a stock x into max(0, x + change). Such steps compose: any run of days is x -> max(a, x + b), with b the sum of
+    the changes and a what they leave of an empty stock. So each block of days is worked out by itself, one row per block and
+    series tells where the next begins, and no task holds more than a block or a series of blocks. `last` holds keys, `order`
+    (a date) and the closing column of days settled before: series go on from there, days up to it are left out, and series
+    it doesn't know begin with `opening`.
+    """
+    open_name, close_name = names
+    kind = "decimal(24,2)"
+    daily = df.groupBy(*keys, order).agg(F.sum(received).alias(received), F.sum(consumed).alias(consumed))
+    begin = F.lit(opening).cast(kind)
+    if last is None:
+        daily = daily.withColumn("_x", begin)
+    else:
+        known = last.select(*[F.col(k).alias(f"_{k}_ref") for k in keys], F.col(order).alias("_day"), F.col(close_name).alias("_x"))
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}_ref")) for k in keys])
+        daily = daily.join(known, same, "left").where(F.col("_day").isNull() | (F.col(order) > F.col("_day")))
+        daily = daily.withColumn("_x", F.coalesce(F.col("_x").cast(kind), begin)).drop("_day", *[f"_{k}_ref" for k in keys])
+    days = daily.withColumn("_block", F.floor(F.unix_date(order) / F.lit(block_days)).cast("int"))
+    block = Window.partitionBy(*keys, "_block").orderBy(order)
+    running = block.rowsBetween(Window.unboundedPreceding, 0)
+    change = (F.col(received) - F.col(consumed)).cast(kind)
+    days = days.withColumn("_b", F.sum(change).over(running)).withColumn("_a", F.col("_b") - F.min("_b").over(running))
+    blocks = days.groupBy(*keys, "_block").agg(F.max_by(F.struct("_a", "_b"), order).alias("_f"), F.min("_x").alias("_x"))
+    series = Window.partitionBy(*keys).orderBy("_block")
+    before = series.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_sum", F.sum("_f._b").over(series.rowsBetween(Window.unboundedPreceding, 0)))
+    # The closed form over blocks: the sum so far, above the highest floor a block has set.
+    start = F.coalesce(F.lag("_sum").over(series), F.lit(0)) + F.greatest("_x", F.max(F.col("_f._a") - F.col("_sum")).over(before))
+    starts = blocks.select(*[F.col(k).alias(f"_{k}_ref") for k in keys], F.col("_block").alias("_own"), start.cast(kind).alias("_start"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}_ref")) for k in keys]) & (F.col("_block") == F.col("_own"))
+    closing = F.greatest(F.col("_a"), F.col("_start") + F.col("_b")).cast(kind)
+    return (
+        days.join(starts, same)
+        .withColumn(close_name, closing)
+        .withColumn(open_name, F.coalesce(F.lag(close_name).over(block), "_start").cast(kind))
+        .select(*keys, order, received, consumed, close_name, open_name)
+    )
+
+
+def closings(rolled, keys, order, closing="closing_stock"):
+    """The last day of each series with its closing stock, for `carry_forward` to go on from."""
+    return rolled.groupBy(*keys).agg(F.max(F.struct(order, closing)).alias("_l")).select(*keys, f"_l.{order}", f"_l.{closing}")
+
+
 def period_growth(df, period, value, *, name="growth_pct"):
     """Percent change to the previous period present.
 

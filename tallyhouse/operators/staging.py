@@ -89,6 +89,26 @@ def reject_out_of_range(typed):
     return typed.where((F.col("transaction_qty") > 0) & (F.col("unit_price") > 0))
 
 
+# Reasons a line is rejected for, in the order they are looked at.
+KEPT = "kept"
+REJECTS = {
+    "no transaction id": "transaction_id is null",
+    "no date": "transaction_date is null",
+    "no quantity": "transaction_qty is null",
+    "no price": "unit_price is null",
+    "quantity not positive": "not transaction_qty > 0",
+    "price not positive": "not unit_price > 0",
+}
+
+
+def with_reject_reason(typed):
+    """Typed POS lines with the first reason that rejects them, or KEPT: just the lines that staging keeps."""
+    reason = F.lit(KEPT)
+    for name, broken in reversed(REJECTS.items()):
+        reason = F.when(F.expr(broken), name).otherwise(reason)
+    return typed.withColumn("reject_reason", reason)
+
+
 def stage_pos_lines(bronze, mapping, *, latest=True, lenient_time=False):
     """Staged POS lines without their line number.
 

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import covered_days
 from tallyhouse.operators import staging
-from tallyhouse.plans import dimensions, facts, intermediate, quality
+from tallyhouse.plans import dimensions, facts, intermediate, quality, rejects
 from tallyhouse.schemas import ARRIVAL, GOLD_TABLES
 from tallyhouse.sources import audit, bronze, gold
 
 
-def silver_tables(tables, *, latest=True):
-    """Staged tables from Bronze tables and the mapping."""
+def silver_tables(tables, *, latest=True, lines=None):
+    """Staged tables from Bronze tables and the mapping; `lines` are POS lines staged already, without numbers."""
+    if lines is None:
+        lines = staging.stage_pos_lines(tables["bronze_pos_transactions"], tables["product_name_mapping"], latest=latest)
     return {
-        "stg_pos_transactions": staging.stage_pos(
-            tables["bronze_pos_transactions"], tables["product_name_mapping"], latest=latest
-        ),
+        "stg_pos_transactions": staging.number_pos(lines),
         "stg_product_costs": staging.stage_costs(tables["bronze_product_costs"], latest=latest),
         "stg_recipes_bom": staging.stage_bom(tables["bronze_recipes_bom"], latest=latest),
         "stg_daily_inventory": staging.stage_inventory(tables["bronze_daily_inventory"], latest=latest),
@@ -65,7 +65,7 @@ def fact_tables(silver, dims):
     }
 
 
-def build_gold(spark, tables, root, *, calendar=None):
+def build_gold(spark, tables, root, *, calendar=None, lines=None):
     """Build and store the staged tables, then the dimensions, then the facts.
 
     Each stored layer ends the lineage of the next: POS lines are parsed,
@@ -74,7 +74,7 @@ def build_gold(spark, tables, root, *, calendar=None):
     sales fact is partitioned by day, so reports on a date range read only its
     folders; the other facts are daily totals and too small for that.
     """
-    staged = silver_tables(tables)
+    staged = silver_tables(tables, lines=lines)
     for name, df in staged.items():
         gold.write_table(df, root, name, "silver")
     silver = {name: gold.read_table(spark, root, name, "silver") for name in staged}
@@ -100,10 +100,11 @@ def recent_bronze(spark, root):
     return tables
 
 
-def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=None, calendar=None):
+def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=None, calendar=None, keep_rejects=False):
     """Gates before, build, gates after, export and run summary for one run date.
 
-    A failing critical gate stops the run; the summary is written either way.
+    A failing critical gate stops the run; the summary is written either way. With `keep_rejects` the rejected POS lines are
+    stored with their reasons, and the parity gate reads the counts of that scan instead of counting both layers.
     """
     store = audit.gate_store(f"{lake_root}/quality-gate-results")
     tables = recent_bronze(spark, bronze_root) | {"product_name_mapping": mapping}
@@ -114,7 +115,11 @@ def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=Non
         tables["pos_profile"] = gold.read_table(spark, lake_root, "pos_profile", "silver")
         quality.run_gates(spark, tables, ["completeness", "integrity"], run_date=run_date, store=store)
         step = "build"
-        silver, tables_out = build_gold(spark, tables, lake_root, calendar=calendar)
+        lines = None
+        if keep_rejects:
+            tables["pos_line_counts"] = rejects.write_lines(spark, tables["bronze_pos_transactions"], lake_root)
+            lines = rejects.kept_lines(spark, lake_root, mapping)
+        silver, tables_out = build_gold(spark, tables, lake_root, calendar=calendar, lines=lines)
         step = "quality_gates_post"
         after = tables | {"stg_pos_transactions": silver["stg_pos_transactions"]}
         quality.run_gates(spark, after, ["consistency", "parity"], run_date=run_date, store=store)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values as fixed
 from tallyhouse.functions.numbers import percent
+from tallyhouse.plans.rejects import retention
 from tallyhouse.operators.joins import lookup_join
 from tallyhouse.operators.snapshot import latest_snapshot, oldest_of_latest
 from tallyhouse.schemas import ARRIVAL
@@ -219,7 +220,9 @@ def gate_labor_ratio(tables, *, max_pct=60):
 
 
 def silver_retention(tables):
-    """Rows of the newest POS snapshot before and after staging."""
+    """Rows of the newest POS snapshot before and after staging, from stored counts (`pos_line_counts`) where there are any."""
+    if "pos_line_counts" in tables:
+        return retention(tables["pos_line_counts"]).withColumn("pct_retained", percent("silver_rows", "bronze_rows"))
     silver = tables["stg_pos_transactions"]
     newest = tables.get("pos_profile", tables["bronze_pos_transactions"]).select(F.max(ARRIVAL)).scalar()
     before = _pos_counts(tables).select(F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("bronze_rows"))

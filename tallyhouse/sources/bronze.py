@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyhouse.schemas import ARRIVAL, BRONZE, text_schema
+from tallyhouse.sources import copying
 from tallyhouse.sources.files import exists, hadoop_path, list_names
 
 DATASETS = tuple(BRONZE)
@@ -105,26 +106,31 @@ def arrivals(spark, root, dataset):
     return _arrival_dates(spark, dataset_path(root, dataset))
 
 
-def copy_bronze(spark, source_root, target_root, *, run_date=None, full_refresh=False):
-    """Copy one arrival date, or all of them, to another Bronze root; returns the copied (dataset, date) pairs.
+def copy_report(spark, source_root, target_root, *, run_date=None, full_refresh=False, datasets=DATASETS):
+    """Copy one arrival date, or all of them, of every dataset to another Bronze root; returns a row per file.
 
-    Each date replaces its folder in the target. Nothing to copy is an error.
+    Each date replaces its folder in the target, unless the target holds the same lines already; see
+    `copying.copy_arrivals`. Nothing to copy is an error, and so is a file that did not arrive whole.
     """
     if run_date is None and not full_refresh:
         raise ValueError("name a run_date or ask for a full refresh")
-    copied = []
-    for dataset in DATASETS:
+    reports = []
+    for dataset in datasets:
         present = arrivals(spark, source_root, dataset)
         wanted = present if full_refresh else [d for d in present if d == run_date]
-        if not wanted:
-            continue
-        for date in wanted:
-            for rows in _snapshots(spark, dataset_path(source_root, dataset), [date]):
-                _replace_arrival(rows.drop(ARRIVAL), dataset_path(target_root, dataset), date)
-        copied += [(dataset, date) for date in wanted]
-    if not copied:
+        if wanted:
+            source, target = dataset_path(source_root, dataset), dataset_path(target_root, dataset)
+            reports.append(copying.copy_arrivals(spark, source, target, wanted, dataset=dataset))
+    if not reports:
         raise FileNotFoundError(f"no Bronze files for {run_date or 'any date'} in {source_root}")
-    return copied
+    return copying.checked(reports)
+
+
+def copy_bronze(spark, source_root, target_root, *, run_date=None, full_refresh=False):
+    """Copy as `copy_report` does; returns the (dataset, date) pairs that the target now holds."""
+    report = copy_report(spark, source_root, target_root, run_date=run_date, full_refresh=full_refresh)
+    pairs = {tuple(row) for row in report.select("dataset", ARRIVAL).distinct().collect()}
+    return sorted(pairs, key=lambda pair: (DATASETS.index(pair[0]), pair[1]))
 
 
 def arrival_status(tables):
