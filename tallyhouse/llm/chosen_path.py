@@ -5,10 +5,12 @@
    named by the minwise token found there. So a set computes its own paths, and similar sets share some. With a share p of
    equal coordinates, a pair survives in a tree of any depth with probability (2p - 1) / p^2 for a fan of two; as many
    independent trees grow as the target recall asks for.
-3. Sets that meet in a small node are compared all with all by bits of their sketches. In a larger node they first meet
+3. Sets that meet in a small node are candidates all with all, by bits of their sketches. In a larger node they first meet
    one pivot, so that a group of copies costs one pair for each copy. Candidates are confirmed on full sets.
-4. What stays apart in a large node goes on: nodes whose sets are all in one group are closed, nodes of up to `LIMIT`
-   sets are compared in full between groups, larger ones branch on. After `ROUNDS` turns the rest is compared in blocks.
+4. Nodes that then hold sets of one group only are closed. Nodes above `LIMIT` sets branch on, for at most `ROUNDS` turns. The
+   others are settled: their sets come together by pivot (nodes of one group mostly share it, so a set travels once, not
+   once a node), and sets of different groups are compared in memory, sketches first, full sets where these allow it.
+   Only links leave a task. What is above the limit even after the last turn is settled in pairs of blocks.
 """
 
 import math
@@ -28,16 +30,19 @@ RECALL = 0.9999
 # Coordinates of a sketch, and levels that a tree branches in one turn.
 COORDINATES, LEVELS = 128, 3
 FAN = 2
-# Sets of a node that are compared all with all at once; sets of a node that are compared before it branches on.
-SMALL, LIMIT = 12, 256
+# Sets of a node that are candidates all with all at once; sets of a node, or of a block, that a task compares in memory.
+SMALL, LIMIT = 12, 2048
 # Turns in which large nodes branch on, and levels of each.
 ROUNDS, DEEPER = 3, 2
-# A pair is dropped unread if its sketches agree in fewer bits of 64 than linked sets do but once in a million.
+# A pair is dropped unread if its sketches agree in fewer bits, or in fewer tokens, than linked sets do: five and four
+# standard deviations below what pairs at the threshold do, so that the loss stays below what the recall allows.
 BITS = 64
-DEVIATIONS = 5.0
+BIT_DEVIATIONS, TOKEN_DEVIATIONS = 5.0, 4.0
 # N-grams whose hashes are computed at once, entries a task holds before it gives them out, and entries of a bucket.
 CHUNK, HELD, BUCKET_ENTRIES = 4096, 500_000, 500_000
 BUCKETS_AT_LEAST = 64
+# N-grams of sets that a task holds when it settles units, about, and sets whose full sets are compared at once.
+BUCKET_GRAMS, AT_ONCE = 4_000_000, 32
 
 _DRAWN = np.random.default_rng(13)
 _FACTORS = _DRAWN.integers(0, 1 << 31, COORDINATES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -45,7 +50,8 @@ _SHIFTS = _DRAWN.integers(0, 1 << 32, COORDINATES, np.uint32)
 
 SET_SCHEMA = "doc_id long, text_key long, n_shingles long, signature long, sketch binary"
 ENTRY = [("node", np.uint64), ("sig", np.int64), ("bits", np.uint64), ("size", np.uint32)]
-FOUND_SCHEMA = "a long, b long, node long, sig long, bits long, size long"
+FOUND_SCHEMA = "a long, b long, node long, pivot long, sig long, size long"
+LINK_SCHEMA = "a long, b long"
 
 
 def trees_for(recall, percent):
@@ -55,10 +61,9 @@ def trees_for(recall, percent):
     return max(1, math.ceil(math.log(1 - recall) / math.log(lost)))
 
 
-def least_agreement(percent):
-    """Bits of 64 in which two sketches must agree; unequal minwise tokens agree in half of them."""
-    p = (1 + percent / 100) / 2
-    return math.floor(BITS * p - DEVIATIONS * math.sqrt(BITS * p * (1 - p)))
+def least_agreement(places, share, deviations):
+    """Of `places` that agree with probability `share` each, the number that agree but for a few in many cases."""
+    return math.floor(places * share - deviations * math.sqrt(places * share * (1 - share)))
 
 
 def sketch(grams):
@@ -178,24 +183,25 @@ def path_entries(rows, from_root, levels, buckets, trees):
 
 
 def may_link(size_a, bits_a, size_b, bits_b, percent):
-    """Length filter and agreement of sketch bits."""
+    """Length filter and agreement of sketch bits; unequal tokens agree in half of the bits."""
     low, high = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    return (100 * low >= percent * high) & (BITS - np.bitwise_count(bits_a ^ bits_b).astype(np.int64) >= least_agreement(percent))
+    least = least_agreement(BITS, (1 + percent / 100) / 2, BIT_DEVIATIONS)
+    return (100 * low >= percent * high) & (BITS - np.bitwise_count(bits_a ^ bits_b).astype(np.int64) >= least)
 
 
 def _found(pairs, members):
-    """Rows of pairs (a, b) and rows of members (node, sig, bits, size) in one frame."""
+    """Rows of pairs (a, b) and rows of members (node, pivot, sig, size) in one frame."""
     a, b = pairs
     pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-    node, sig, bits, size = members
-    members = pd.DataFrame({"node": node.view(np.int64), "sig": sig, "bits": bits.view(np.int64), "size": size})
+    node, pivot, sig, size = members
+    members = pd.DataFrame({"node": node.view(np.int64), "pivot": pivot, "sig": sig, "size": size})
     # Absent values must not turn 64-bit numbers into floats.
-    columns = ["a", "b", "node", "sig", "bits", "size"]
+    columns = ["a", "b", "node", "pivot", "sig", "size"]
     return pd.concat([f.astype("Int64").reindex(columns=columns).astype("Int64") for f in (pairs, members)])
 
 
 def met(entries, percent):
-    """From blocks: candidate pairs (a, b), and the members (node, sig, bits, size) of nodes of more than SMALL sets.
+    """From blocks: candidate pairs (a, b), and the members (node, pivot, sig, size) of nodes of more than SMALL sets.
 
     The pivot of a large node is its set of least scrambled signature: nodes that share sets mostly share the pivot.
     """
@@ -212,6 +218,7 @@ def met(entries, percent):
             left.append(one)
             right.append(one + step)
         crowded = np.flatnonzero(count > SMALL)
+        pivot = np.empty(0, np.int64)
         if len(crowded):
             order = crowded[np.lexsort((base.mixed(sig[crowded].view(np.uint64)), node[crowded]))]
             pivots = order[np.r_[True, node[order][1:] != node[order][:-1]]]
@@ -220,39 +227,95 @@ def met(entries, percent):
             right.append(crowded[pivot != crowded])
         left, right = np.concatenate(left), np.concatenate(right)
         keep = may_link(size[left], bits[left], size[right], bits[right], percent)
-        return _found((sig[left[keep]], sig[right[keep]]), (node[crowded], sig[crowded], bits[crowded], size[crowded]))
+        return _found((sig[left[keep]], sig[right[keep]]), (node[crowded], sig[pivot], sig[crowded], size[crowded]))
 
     return entries.groupBy("bucket").applyInPandas(in_bucket, FOUND_SCHEMA)
 
 
-def between_groups(members, percent):
-    """Candidate pairs (a, b) of different groups within the nodes of `members` (node, sig, bits, size, label, members).
+def _overlaps(x, others):
+    """Members that the sorted set x shares with each of the other sorted sets."""
+    joined = np.concatenate(others)
+    at = np.searchsorted(x, joined)
+    at[at == len(x)] = 0
+    edges = np.cumsum([0] + [len(o) for o in others[:-1]])
+    return np.add.reduceat((x[at] == joined).astype(np.int64), edges)
 
-    Nodes above LIMIT sets are cut into blocks, and each two blocks are compared by a task of their own.
-    """
-    blocks = F.ceil(F.col("members") / LIMIT).cast("int")
-    own = F.pmod(F.xxhash64("sig"), blocks).cast("int")
-    rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select(
-        "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sig", "bits", "size", "label",
-    )
 
-    def compare(table):
-        i, j = table["i"].iloc[0], table["j"].iloc[0]
-        x, y = table[table["own"] == i], table[table["own"] == j]
-        values = lambda t: (t["sig"].to_numpy(), t["bits"].to_numpy(np.int64).view(np.uint64), t["size"].to_numpy(), t["label"].to_numpy())
-        (sig_x, bits_x, size_x, label_x), (sig_y, bits_y, size_y, label_y) = values(x), values(y)
-        out = []
-        for at in range(len(x)):
-            keep = may_link(size_x[at], bits_x[at], size_y, bits_y, percent) & (label_y != label_x[at]) & (
-                (sig_y > sig_x[at]) if i == j else True
-            )
-            out.append(pd.DataFrame({"a": sig_x[at], "b": sig_y[keep]}))
-        pairs = pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
-        low, high = np.minimum(pairs["a"], pairs["b"]), np.maximum(pairs["a"], pairs["b"])
-        return pd.DataFrame({"a": low.astype("int64"), "b": high.astype("int64")})
+def settle(label, sketches, grams, side, percent):
+    """Pairs of places that link, enough of them to join all groups that links between these sets join.
+
+    `label` tells groups known before; sets of one group are not compared. `side` is None, or tells two blocks apart, of
+    which only sets on different sides are compared. Small groups go first; a set meets the sets of other groups in falling
+    order of agreeing sketch tokens, until its group is joined with theirs or they are all refused.
+    """
+    names, own = np.unique(label, return_inverse=True)
+    size = np.array([len(g) for g in grams])
+    group, members = np.arange(len(names)), np.bincount(own)
+    least = least_agreement(COORDINATES, percent / 100, TOKEN_DEVIATIONS)
+    open_to = np.ones(len(names), bool)
+    links = []
+    for first in np.argsort(members, kind="stable"):
+        # All pairs with sets of a group that had its turn are decided.
+        open_to[first] = False
+        for u in np.flatnonzero(own == first):
+            others = np.flatnonzero(open_to[own] & (group[own] != group[first]))
+            if side is not None:
+                others = others[side[others] != side[u]]
+            near = 100 * np.minimum(size[others], size[u]) >= percent * np.maximum(size[others], size[u])
+            others = others[near]
+            agree = (sketches[others] == sketches[u]).sum(axis=1)
+            others = others[agree >= least][np.argsort(-agree[agree >= least], kind="stable")]
+            while len(others):
+                some, others = others[:AT_ONCE], others[AT_ONCE:]
+                both = _overlaps(grams[u], [grams[v] for v in some])
+                for v in some[100 * both >= percent * (size[u] + size[some] - both)]:
+                    if group[own[v]] != group[first]:
+                        links.append((u, v))
+                        group[group == group[own[v]]] = group[first]
+                others = others[group[own[others]] != group[first]]
+    return links
+
+
+def settled(units, grams, known, percent):
+    """Links (a, b) between sets of different groups within units.
+
+    `units` has unit, sig, size, label and side (null, or the block a set stands in); `grams` (sign, grams) and `known`
+    (signature, sketch) give their sets and sketches.
+    """
+    total = units.agg(F.sum("size")).first()[0] or 0
+    buckets = max(BUCKETS_AT_LEAST, int(total // BUCKET_GRAMS))
+    sketches = known.select(F.col("signature").alias("sign"), "sketch").dropDuplicates(["sign"])
+    full = base.stored(grams.join(sketches, "sign"), "full")
+    rows = units.join(full, units["sig"] == full["sign"]).select("unit", "sig", "label", "side", "sketch", "grams")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("unit"), F.lit(buckets)))
 
-    return rows.groupBy("node", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    def in_bucket(rows):
+        found = []
+        for _, unit in rows.groupby("unit", sort=False):
+            unit = unit.sort_values("sig")
+            sig = unit["sig"].to_numpy()
+            sketches = np.frombuffer(b"".join(unit["sketch"]), np.uint32).reshape(-1, COORDINATES)
+            sets = [np.frombuffer(g, np.uint64) for g in unit["grams"]]
+            side = None if unit["side"].isna().any() else unit["side"].to_numpy()
+            pairs = settle(unit["label"].to_numpy(), sketches, sets, side, percent)
+            found += [(min(sig[u], sig[v]), max(sig[u], sig[v])) for u, v in pairs]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return rows.groupBy("bucket").applyInPandas(in_bucket, LINK_SCHEMA).distinct()
+
+
+def units_of(opened):
+    """Units of open nodes: all sets of nodes of one pivot, each once; above LIMIT sets, every two blocks of them."""
+    rows = opened.groupBy(F.col("pivot"), "sig").agg(F.max("size").alias("size"), F.max("label").alias("label"))
+    counts = rows.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(LIMIT)).cast("int").alias("blocks"))
+    rows = base.stored(rows.join(counts, "pivot"), "units")
+    small = rows.where("blocks = 1").select(F.xxhash64("pivot").alias("unit"), "sig", "size", "label", F.lit(None).cast("int").alias("side"))
+    large = rows.where("blocks > 1").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    unit = F.xxhash64("pivot", F.least("own", "other"), F.greatest("own", "other"))
+    # A block against itself has no sides.
+    side = F.when(F.col("own") != F.col("other"), (F.col("own") > F.col("other")).cast("int"))
+    return small.union(large.select(unit, "sig", "size", "label", side))
 
 
 def confirmed(sets, pairs, percent):
@@ -285,32 +348,32 @@ def open_members(members, labels):
 
 def links(docs, sets, width=WIDTH, percent=PERCENT, recall=RECALL):
     """(node_id, label) of every set that links with another: the smallest signature of its group."""
-    spark = docs.sparkSession
     trees = trees_for(recall, percent)
     known = sets.where("signature is not null")
-    rows = known.select("signature", "n_shingles", "sketch")
 
     def buckets_for(n):
         return max(BUCKETS_AT_LEAST, n // BUCKET_ENTRIES)
 
-    def named(pairs):
-        return pairs.select(F.col("a").alias("sign")).union(pairs.select("b")).distinct()
-
     def labelled(found):
         return base.stored(connected(found).select(F.col("node").alias("node_id"), "label"), "labels")
 
-    entries = path_entries(rows, True, LEVELS, buckets_for(known.count() * trees * FAN**LEVELS), trees)
+    def as_links(labels):
+        return labels.select(F.col("node_id").alias("a"), F.col("label").alias("b"))
+
+    entries = path_entries(known.select("signature", "n_shingles", "sketch"), True, LEVELS, buckets_for(known.count() * trees * FAN**LEVELS), trees)
     found = base.stored(met(entries, percent), "found")
-    tried = base.stored(found.where("node is null").select("a", "b").distinct(), "pairs")
-    proven = base.stored(confirmed(stored_sets(docs, sets, named(tried), width), tried, percent), "links")
-    labels = labelled(proven)
-    members = found.where("node is not null").select("node", "sig", "bits", "size")
+    pairs = base.stored(found.where("node is null").select("a", "b").distinct(), "pairs")
+    members = found.where("node is not null").select("node", "pivot", "sig", "size")
+    # One more scan gives all sets that any later turn looks at.
+    named = pairs.select(F.col("a").alias("sign")).union(pairs.select("b")).union(members.select("sig")).distinct()
+    grams = stored_sets(docs, sets, named, width)
+    labels = labelled(confirmed(grams, pairs, percent))
     for turn in range(ROUNDS + 1):
         opened = open_members(members, labels)
-        now = opened if turn == ROUNDS else opened.where(F.col("members") <= LIMIT)
-        pairs = between_groups(now, percent)
         later = opened.where(F.col("members") > LIMIT)
         more = turn < ROUNDS and not later.isEmpty()
+        now = opened.where(F.col("members") <= LIMIT) if more else opened
+        new = base.stored(settled(base.stored(units_of(now), "units"), grams, known, percent), "links")
         if more:
             sketches = known.select("signature", "n_shingles", "sketch").join(
                 later.select(F.col("sig").alias("signature")).distinct(), "signature", "left_semi"
@@ -318,17 +381,14 @@ def links(docs, sets, width=WIDTH, percent=PERCENT, recall=RECALL):
             going = later.select(F.col("sig").alias("signature"), "node").join(sketches, "signature")
             entries = path_entries(going, False, DEEPER, buckets_for(later.count() * FAN**DEEPER), trees)
             found = base.stored(met(entries, percent), "found")
-            pairs = pairs.union(found.where("node is null").select("a", "b"))
-            members = found.where("node is not null").select("node", "sig", "bits", "size")
-        pairs = base.stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.union(pairs)
-        new = base.stored(confirmed(stored_sets(docs, sets, named(pairs), width), pairs, percent), "links")
+            members = found.where("node is not null").select("node", "pivot", "sig", "size")
+            pairs = base.stored(found.where("node is null").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+            new = base.stored(new.union(confirmed(grams, pairs, percent)), "links")
         if not new.isEmpty():
             # Labels are links too, and give the same groups as the links they came from.
-            labels = labelled(new.union(labels.select(F.col("node_id").alias("a"), F.col("label").alias("b"))))
+            labels = labelled(new.union(as_links(labels)))
         if not more:
-            break
-    return labels
+            return labels
 
 
 def near_duplicates(docs, width=WIDTH, percent=PERCENT, recall=RECALL):

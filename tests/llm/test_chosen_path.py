@@ -60,7 +60,7 @@ def test_hard_cases(spark):
     assert found(spark, []) == Counter()
 
 
-@pytest.mark.parametrize("limit, rounds", [(256, 3), (16, 2), (16, 0)])
+@pytest.mark.parametrize("limit, rounds", [(2048, 3), (16, 2), (16, 0)])
 def test_crowded_nodes_lose_no_group(spark, monkeypatch, limit, rounds):
     """Three families of near copies, close to each other but apart, are larger than a node's limit."""
     monkeypatch.setattr(chosen_path, "LIMIT", limit)
@@ -98,6 +98,33 @@ def test_sketch_estimates_similarity():
     assert abs(np.mean(estimates) - 0.6) < 0.04
 
 
+@pytest.mark.parametrize("sides", [False, True])
+def test_settling_joins_what_links_join(sides):
+    rng = np.random.default_rng(10)
+    body = np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64))
+    grams = []
+    for _ in range(60):
+        kept = rng.choice(body, rng.integers(len(body) - 40, len(body)), replace=False)
+        grams.append(np.unique(np.r_[kept, rng.integers(0, 1 << 63, rng.integers(0, 25)).astype(np.uint64)]))
+    sketches = np.array([chosen_path.sketch(g) for g in grams])
+    label = np.where(np.arange(60) % 5 == 0, 7, np.arange(60) + 100)
+    side = np.arange(60) % 2 if sides else None
+
+    def groups(pairs):
+        group = list(label)
+        for a, b in pairs:
+            group = [group[a] if g == group[b] else g for g in group]
+        return {frozenset(np.flatnonzero(np.array(group) == g).tolist()) for g in set(group)}
+
+    every = [
+        (a, b) for a, b in itertools.combinations(range(60), 2)
+        if (side is None or side[a] != side[b])
+        and 100 * len(np.intersect1d(grams[a], grams[b])) >= 80 * len(np.union1d(grams[a], grams[b]))
+    ]
+    got = chosen_path.settle(label, sketches, grams, side, 80)
+    assert {tuple(sorted(map(int, p))) for p in got} <= set(every) and groups(got) == groups(every)
+
+
 def test_blocks_hold_every_entry_once():
     rng = np.random.default_rng(9)
     node, sig = rng.integers(0, 50, 500).astype(np.uint64), rng.integers(0, 20, 500).astype(np.int64)
