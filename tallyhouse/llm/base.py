@@ -1,5 +1,7 @@
 """What the operators share: folders, shipping the package, hashing words, merging sketches of partitions."""
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -8,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -75,6 +78,16 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
+def release_memory():
+    """Give back what earlier operators left in this Python worker: remembered words, free pages of its allocators."""
+    _HASHES.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def word_hashes(words):
     """64-bit hashes of words given as bytes."""
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))

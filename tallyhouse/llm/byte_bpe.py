@@ -12,13 +12,19 @@ import math
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from tallyhouse.llm import base
-from tallyhouse.llm.tokens import Remembering, load_ranks, pattern
+from tallyhouse.llm.tokens import REMEMBERED_BYTES, Remembering, TwoGenerations, load_ranks, pattern
 
 # Code points that a match may have looked at beyond its end; an edit re-encodes from the last match clear of it.
 LOOK_AHEAD = 3
+# Pairs of tokens of which a Python worker remembers whether they go together; about 130 bytes each.
+REMEMBERED_PAIRS = 1_000_000
+# Documents that are encoded before their rows are given on.
+ROWS_AT_ONCE = 256
 
 
 def merged_by_rank(piece, ranks):
@@ -34,10 +40,28 @@ def merged_by_rank(piece, ranks):
     return [ranks[p] for p in parts]
 
 
+class Fitting(TwoGenerations):
+    """Whether a token may follow another (-1: begin a piece), by their ranks put into one number."""
+
+    def __init__(self, ranks, tokens, most):
+        super().__init__(most)
+        self.ranks, self.tokens = ranks, tokens
+        self.shift = len(tokens).bit_length()
+
+    def __missing__(self, key):
+        known = self.old.get(key)
+        if known is None:
+            before, token = key >> self.shift, key & (1 << self.shift) - 1
+            first = [] if before < 0 else [before]
+            piece = b"".join(self.tokens[t] for t in [*first, token])
+            known = merged_by_rank(piece, self.ranks) == [*first, token]
+        return self.keep(key, known)
+
+
 class Vocabulary:
-    """Ranks with what the dynamic program asks of them."""
+    """Ranks with what the dynamic program asks of them; `most_pairs` bounds its memory of pairs."""
 
-    def __init__(self, ranks, source):
+    def __init__(self, ranks, source, most_pairs=REMEMBERED_PAIRS):
         self.ranks = ranks
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
@@ -49,25 +73,15 @@ class Vocabulary:
             self.matcher.add_word(token.decode("latin-1"), (rank, len(token)))
         self.matcher.make_automaton()
         self.pattern = pattern(source)
-        self.fitting = {}
+        self.fitting = Fitting(ranks, self.tokens, most_pairs)
 
     def fits(self, before, token):
         """Whether `token` may follow `before` (-1: begin a piece)."""
-        key = (before, token)
-        known = self.fitting.get(key)
-        if known is None:
-            if len(self.fitting) > 2_000_000:
-                self.fitting.clear()
-            if before < 0:
-                known = merged_by_rank(self.tokens[token], self.ranks) == [token]
-            else:
-                known = merged_by_rank(self.tokens[before] + self.tokens[token], self.ranks) == [before, token]
-            self.fitting[key] = known
-        return known
+        return self.fitting[before << self.fitting.shift | token]
 
     def extend(self, piece, last):
         """Add the last tokens of the prefixes of `piece` that `last` (one entry per prefix so far) doesn't have yet."""
-        fitting, begin = self.fitting, max(0, len(last) + 1 - self.longest)
+        fitting, shift, begin = self.fitting, self.fitting.shift, max(0, len(last) + 1 - self.longest)
         for end, (token, size) in self.matcher.iter(piece[begin:].decode("latin-1")):
             end += begin
             if end < len(last):
@@ -75,8 +89,7 @@ class Vocabulary:
             if end > len(last):
                 break
             before = last[end - size] if end >= size else -1
-            known = fitting.get((before, token))
-            if self.fits(before, token) if known is None else known:
+            if fitting[before << shift | token]:
                 last.append(token)
         if len(last) < len(piece):
             raise ValueError("the vocabulary lacks a single byte")
@@ -167,12 +180,15 @@ class Encoded:
 _VOCABULARIES = {}
 
 
-def vocabulary(path, source):
-    """The vocabulary of a rank file with its memory of parts, kept per Python process."""
-    if (path, source) not in _VOCABULARIES:
-        words = Vocabulary(load_ranks(path), source)
-        _VOCABULARIES[path, source] = words, Remembering(words.encode)
-    return _VOCABULARIES[path, source]
+def vocabulary(path, source, most_bytes=REMEMBERED_BYTES, most_pairs=REMEMBERED_PAIRS):
+    """The vocabulary of a rank file with its memory of parts, kept per Python process; the last bounds given hold."""
+    key = (path, source)
+    if key not in _VOCABULARIES:
+        words = Vocabulary(load_ranks(path), source, most_pairs)
+        _VOCABULARIES[key] = words, Remembering(words.encode, most_bytes)
+    words, memory = _VOCABULARIES[key]
+    words.fitting.most, memory.most = most_pairs, most_bytes
+    return words, memory
 
 
 def round_trip(docs, path, source):
@@ -204,6 +220,36 @@ def round_trip(docs, path, source):
     )
 
 
+def with_tokens(docs, path, source, most_bytes=REMEMBERED_BYTES, most_pairs=REMEMBERED_PAIRS):
+    """`docs` with its text replaced by n_tokens (long), token_ids (array<int>) and round_trip (whether they decode to it).
+
+    One function gives all three, a few hundred documents at a time, so that a task holds little besides its batch of texts;
+    the last two parameters bound what it remembers. Other columns pass as they are, in order, the new ones at the end. A
+    null text is the empty text: no tokens, and nothing decodes to it. Rows are independent; an empty table stays empty.
+    """
+    base.ship(docs.sparkSession)
+    others = [c for c in docs.columns if c not in ("text", "n_tokens", "token_ids", "round_trip")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in others], "text")
+    schema = StructType([rows.schema[c] for c in others]).add("n_tokens", "long").add("token_ids", ArrayType(IntegerType())).add("round_trip", "boolean")
+
+    def encode(batches):
+        base.release_memory()
+        words, memory = vocabulary(path, source, most_bytes, most_pairs)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                ids, equal = [], []
+                for text in batch.column(len(others)).to_pylist():
+                    ids.append(memory.ids(text).astype(np.int32))
+                    equal.append(words.decode(ids[-1].tolist()) == (text or "").encode())
+                counts = np.array([len(i) for i in ids], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(np.concatenate(ids)))
+                columns = [batch.column(i) for i in range(len(others))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(counts), lists, pa.array(equal)], names=schema.names)
+
+    return rows.mapInArrow(encode, schema)
+
+
 def encoder(spark, path, source):
     """A function of a text column that gives its ids; null is the empty text."""
     base.ship(spark)

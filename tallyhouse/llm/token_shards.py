@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import base
-from tallyhouse.llm.tokens import Remembering, parts_of, pattern
+from tallyhouse.llm.tokens import Remembering, pattern
 from tallyhouse.llm.wavelet import from_file, to_file
 
 # Ids in one file, about; a document is never divided.
@@ -34,26 +34,51 @@ def byte_letters():
     return "".join(letters[b] for b in range(256))
 
 
-def tokenizer(path):
-    """(tokenizer, bits of its largest id, memory of parts) of a byte-level tokenizers file, kept per Python process.
+class Encoding:
+    """Ids as the library's `encode(text, add_special_tokens=False)` gives them.
 
-    Names of special tokens that stand in a text are ordinary text. Matches of the pattern are encoded by the library's
-    model once each and remembered; texts that can't be cut go through the library as a whole.
+    Matches of the pattern are encoded by the library's model and remembered with the parts of texts they stand in. Texts
+    that can't be cut, and texts that hold one of the tokenizer's added tokens, go through the library as a whole.
     """
-    if path not in _TOKENIZERS:
+
+    def __init__(self, path):
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
-        model, letters, find = own.model, byte_letters(), pattern(PATTERN).findall
-        pieces = Remembering(lambda piece: [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))])
+        self.library = own
+        self.bits = max(1, (own.get_vocab_size() - 1).bit_length())
+        self.added = [token.content for token in own.get_added_tokens_decoder().values()]
+        tokenize, letters, find = own.model.tokenize, byte_letters(), pattern(PATTERN).findall
+
+        space = letters[32]
 
         def encode(part):
-            if parts_of(part) is None:
-                return own.encode(part, add_special_tokens=False).ids
-            return np.frombuffer(b"".join(map(pieces.__getitem__, find(part))), "<u4")
+            word = part[1:] if part[0] == " " else part
+            if word.isalpha() and word.isascii():
+                # Plain letters, with or without a space before them, are one match.
+                return [t.id for t in tokenize(part if word is part else space + word)]
+            matches = find(part)
+            if len(matches) == 1:
+                return [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]
+            # A match is a part too, and remembered like one.
+            return np.frombuffer(b"".join(map(self.memory.__getitem__, matches)), "<u4").tolist()
+
+        self.memory = Remembering(encode, whole=self.whole)
 
-        _TOKENIZERS[path] = own, max(1, (own.get_vocab_size() - 1).bit_length()), Remembering(encode)
+    def whole(self, text):
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def ids(self, text):
+        """Ids of a text; null is the empty text."""
+        if text and any(token in text for token in self.added):
+            return np.asarray(self.whole(text), "<u4")
+        return self.memory.ids(text)
+
+
+def tokenizer(path):
+    """The encoding of a byte-level tokenizers file, kept per Python process."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = Encoding(path)
     return _TOKENIZERS[path]
 
 
@@ -64,7 +89,8 @@ def shards(docs, path, end_id=END_ID, shard_ids=SHARD_IDS):
     """
 
     def write(batches):
-        _, bits, memory = tokenizer(path)
+        own_ids = tokenizer(path)
+        bits = own_ids.bits
         kind = np.uint16 if bits <= 16 else np.uint32
         part, number, start = TaskContext.get().partitionId(), 0, 0
         ids, docs_held, held = [], [], 0
@@ -80,7 +106,7 @@ def shards(docs, path, end_id=END_ID, shard_ids=SHARD_IDS):
 
         for batch in batches:
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                own = np.concatenate([memory.ids(text).astype(kind), end])
+                own = np.concatenate([own_ids.ids(text).astype(kind), end])
                 ids.append(own)
                 docs_held.append(None if pd.isna(doc) else int(doc))
                 held += len(own)

@@ -2,12 +2,16 @@
 
 import base64
 import re
+from array import array
 
 import numpy as np
 import regex
 
-# Parts of texts whose ids a Python worker remembers; beyond it they become the old ones, and the old ones go.
-REMEMBERED_PARTS = 400_000
+# Bytes that a Python worker spends on remembering parts of texts, and on which longer parts it spends none.
+REMEMBERED_BYTES = 192 << 20
+LONGEST_PART = 256
+# What an entry takes besides its text and ids: two objects and its place in the table, about.
+ENTRY_BYTES = 190
 
 _SPACE_RUN = re.compile(r"\s\s")
 
@@ -29,28 +33,47 @@ def parts_of(text):
     return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
-class Remembering(dict):
-    """Ids of text parts, as bytes of 32-bit numbers, made by `encode` when first asked for."""
+class TwoGenerations(dict):
+    """A memory of bounded size: beyond half of it the entries become the old ones, and the old ones go."""
 
-    def __init__(self, encode):
-        super().__init__({"": b""})
-        self.encode, self.old = encode, {}
+    def __init__(self, most):
+        super().__init__()
+        self.most, self.held, self.old = most, 0, {}
 
-    def __missing__(self, part):
-        if len(self) >= REMEMBERED_PARTS:
-            self.old = dict(self)
+    def keep(self, key, value, cost=1):
+        """Remember an entry of this cost."""
+        if 2 * (self.held + cost) > self.most:
+            self.old, self.held = dict(self), 0
             self.clear()
+        self.held += cost
+        self[key] = value
+        return value
+
+
+class Remembering(TwoGenerations):
+    """Ids of text parts, as bytes of 32-bit numbers, made by `encode` when first asked for; `most` is in bytes.
+
+    Parts of more than LONGEST_PART characters, such as whole texts of scripts without spaces, are not remembered. Texts that
+    can't be cut go to `whole` (by default `encode`).
+    """
+
+    def __init__(self, encode, most=REMEMBERED_BYTES, whole=None):
+        super().__init__(most)
+        self.encode, self.whole = encode, whole or encode
+
+    def __missing__(self, part):
         ids = self.old.get(part)
         if ids is None:
-            ids = np.asarray(self.encode(part), "<u4").tobytes()
-        self[part] = ids
-        return ids
+            ids = array("I", self.encode(part)).tobytes() if part else b""
+        if len(part) > LONGEST_PART:
+            return ids
+        return self.keep(part, ids, ENTRY_BYTES + len(part) + len(ids))
 
     def ids(self, text):
         """Ids of a whole text; null is the empty text."""
         parts = parts_of(text) if text else []
         if parts is None:
-            return np.asarray(self.encode(text), "<u4")
+            return np.asarray(self.whole(text), "<u4")
         return np.frombuffer(b"".join(map(self.__getitem__, parts)), "<u4")
 
 

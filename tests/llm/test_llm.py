@@ -167,10 +167,9 @@ def test_byte_bpe_appends_and_edits():
         assert text.tokens() == own.encode(text.text) and own.decode(text.tokens()).decode() == text.text
 
 
-def test_remembered_parts_do_not_change_ids(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED_PARTS", 7)
+def test_remembered_parts_do_not_change_ids():
     asked = []
-    memory = tokens.Remembering(lambda part: asked.append(part) or [ord(c) for c in part])
+    memory = tokens.Remembering(lambda part: asked.append(part) or [ord(c) for c in part], 16 * tokens.ENTRY_BYTES)
     rng = random.Random(3)
     for _ in range(300):
         text = " ".join(["often", *rng.choices("abcdefghijklmnop", k=rng.randint(0, 4))]) if rng.random() < 0.9 else ""
@@ -179,6 +178,40 @@ def test_remembered_parts_do_not_change_ids(monkeypatch):
     assert asked.count("often") == 1
 
 
+def test_memory_is_bounded_in_bytes_whatever_the_parts():
+    """Unspaced texts are one part each: they are encoded but not kept."""
+    memory = tokens.Remembering(lambda part: [ord(c) for c in part], 40_000)
+    rng = random.Random(4)
+    for n in range(400):
+        text = "".join(rng.choice("日本語テキスト") for _ in range(rng.choice([3, 200, 5000])))
+        assert memory.ids(text).tolist() == [ord(c) for c in text]
+        for generation in (memory, memory.old):
+            kept = sum(tokens.ENTRY_BYTES + len(part) + len(ids) for part, ids in generation.items())
+            assert kept <= 20_000 and all(len(part) <= tokens.LONGEST_PART for part in generation)
+
+
+def test_pairs_are_bounded_and_give_the_same_tokens():
+    ranks = load_ranks(queries.RANKS)
+    small = byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN, most_pairs=50)
+    large, _ = byte_bpe.vocabulary(queries.RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(6)
+    for _ in range(200):
+        text = "".join(rng.choice("abcdeé日 ñ'12\n") for _ in range(40))
+        assert small.encode(text) == large.encode(text)
+        assert len(small.fitting) + len(small.fitting.old) <= 51
+
+
+def test_tokens_of_documents(edges, empty):
+    got = byte_bpe.with_tokens(edges, queries.RANKS, public_tokenizers.PATTERN)
+    assert got.columns == [*[c for c in edges.columns if c != "text"], "n_tokens", "token_ids", "round_trip"]
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(queries.RANKS), special_tokens={})
+    want = Counter((i, tuple(library.encode_ordinary(t or ""))) for i, t, _ in EDGES)
+    rows = got.collect()
+    assert Counter((r.doc_id, tuple(r.token_ids)) for r in rows) == want
+    assert all(r.round_trip and r.n_tokens == len(r.token_ids) and r.marks == "extra" for r in rows)
+    assert byte_bpe.with_tokens(empty, queries.RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 def test_pairs_merge_by_rank():
     ranks = load_ranks(queries.RANKS)
     library = tiktoken.Encoding("ranks", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
@@ -200,13 +233,16 @@ def test_wavelet_matrix():
         assert matrix.occurrences(value) == places and matrix.count(value, 500, 2500) == sum(500 <= p < 2500 for p in places)
 
 
-def test_token_shards(edges, empty):
+ADDED = [(50, "a <|endoftext|> b", "en"), (51, "<|endoftext|>", "en"), (52, "no<|endoftext|>\n\n<|endoftext|> gap", "de")]
+
+
+def test_token_shards(edges, empty, spark):
     library = Tokenizer.from_file(queries.TOKENIZER)
-    library.encode_special_tokens = True
-    docs = edges.where("doc_id is not null").dropDuplicates(["doc_id"])
+    added = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in ADDED], SCHEMA)
+    docs = edges.where("doc_id is not null").dropDuplicates(["doc_id"]).select(*added.columns).union(added)
     got = {r.doc_id: tuple(r)[1:] for r in token_shards.token_report(docs, queries.TOKENIZER).collect()}
     start = 0
-    for i, t in sorted({(i, t) for i, t, _ in EDGES if i is not None}):
+    for i, t in sorted({(i, t) for i, t, _ in EDGES + ADDED if i is not None}):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
         assert got[i] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
