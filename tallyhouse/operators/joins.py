@@ -1,11 +1,9 @@
 """Join shapes: lookups into reference tables, validity ranges, recipes, missing rows.
 
-Reference tables (costs, recipes, mapping, dimensions) are usually small, but
-nothing promises it. A lookup is broadcast only after its size was checked.
-Beyond the limit both sides are shuffled: with a salt while copying the table
-once per salt is cheap, so that a product or store holding a third of all rows
-is spread over many tasks; for still larger tables without, where the adaptive
-planner splits the skewed partitions it meets.
+Reference tables (costs, recipes, mapping, dimensions) are usually small, but nothing promises it. A lookup is an equality
+join without hints: the planner broadcasts a table whose files are small, adaptive execution one whose measured shuffle
+output is, and it splits the partitions of a key that holds a large part of all rows. The session settings in
+`tallyhouse.session` say how small, and that skewed partitions are split even where that costs a shuffle.
 """
 
 from functools import reduce
@@ -13,66 +11,18 @@ from operator import and_
 
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_ROWS = 500_000
-SALTS = 32
-SALTED_BYTES = 4 * 1024 * 1024 * 1024
 
-
-def estimated_bytes(df):
-    """Catalyst's size estimate of a plan, or None where the session does not expose it."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-    except AttributeError:  # a remote session has no JVM handle
-        return None
-    return int(plan.stats().sizeInBytes())
-
-
-def fits_broadcast(df, max_bytes=BROADCAST_BYTES, max_rows=BROADCAST_ROWS, *, count=True):
-    """Whether a table may be broadcast.
-
-    The estimate is an upper guess: stored tables are measured exactly, but an
-    aggregate is charged with its whole input and a join with the product of
-    its sides. Where the estimate is too high, count at most `max_rows + 1`
-    rows before giving the broadcast up: reading one reference table is far
-    cheaper than shuffling the facts. `count=False` trusts the estimate.
-    """
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return True
-    if not count:
-        return False
-    width = sum(40 if field.dataType.typeName() == "string" else 12 for field in df.schema)
-    rows = min(max_rows, max_bytes // max(width, 1))
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(facts, table, keys, how="left", *, within=None, null_safe=False, broadcast=None):
-    """Join facts to a reference table on equally named keys.
-
-    `within` adds a condition on columns other than the keys. `broadcast=None`
-    checks the size; True or False takes the caller's word, for tables whose
-    bound is known.
-    """
+def lookup_join(facts, table, keys, how="left", *, within=None, null_safe=False):
+    """Join facts to a reference table on equally named keys; `within` adds a condition on columns other than the keys."""
     renamed = {key: f"_{key}_ref" for key in keys}
     right = table.withColumnsRenamed(renamed)
-    if broadcast is None:
-        broadcast = fits_broadcast(right)
     conditions = [
         F.col(key).eqNullSafe(F.col(ref)) if null_safe else F.col(key) == F.col(ref)
         for key, ref in renamed.items()
     ]
     if within is not None:
         conditions.append(within)
-    size = estimated_bytes(right)
-    if broadcast:
-        right = F.broadcast(right)
-    elif size is not None and size <= SALTED_BYTES:
-        # The salt is a function of the row, so a retried task assigns it again alike.
-        facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
-        right = right.withColumn("_salt_ref", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        conditions.append(F.col("_salt") == F.col("_salt_ref"))
-    return facts.join(right, reduce(and_, conditions), how).drop(*renamed.values(), "_salt", "_salt_ref")
+    return facts.join(right, reduce(and_, conditions), how).drop(*renamed.values())
 
 
 def join_valid(lines, costs, *, key="product_name", date_col="transaction_date",

@@ -69,11 +69,11 @@ def _number_large(df, partition, order, name):
         if ahead is None:
             ahead = step.withColumnRenamed("_step", "_ahead")
         else:
-            ahead = lookup_join(step, ahead, prefix, "inner", null_safe=True, broadcast=False).withColumn(
+            ahead = lookup_join(step, ahead, prefix, "inner", null_safe=True).withColumn(
                 "_ahead", F.col("_ahead") + F.col("_step")
             ).drop("_step")
         prefix.append(column)
-    runs = lookup_join(runs, ahead, prefix, "inner", null_safe=True, broadcast=False)
+    runs = lookup_join(runs, ahead, prefix, "inner", null_safe=True)
     rest = [c for c in df.columns if c not in prefix] or prefix
     over = Window.partitionBy(*prefix).orderBy(*[F.asc_nulls_last(c) for c in rest]).rowsBetween(Window.unboundedPreceding, -1)
     first = F.col("_ahead") + F.coalesce(F.sum("_copies").over(over), F.lit(0))

@@ -8,8 +8,9 @@ from tallyhouse.schemas import ARRIVAL
 def latest_snapshot(df, col=ARRIVAL):
     """Rows of the greatest arrival date, compared as text.
 
-    The maximum is a scalar subquery: on a partitioned table Catalyst turns it
-    into a partition filter, so older snapshots are not read.
+    The maximum is a scalar subquery over the arrival column alone. On a partitioned table it becomes a partition filter of
+    the rows themselves; where the folder names are at hand, filter by the newest of them instead (`daily.recent_bronze`),
+    which looks at no older folder at all.
     """
     newest = df.select(F.max(F.col(col).cast("string"))).scalar()
     return df.where(F.col(col).cast("string") == newest)

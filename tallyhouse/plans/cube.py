@@ -128,13 +128,18 @@ def slice_rows(cube, fact, *, stores=None, items=None, date_from=None, date_to=N
         picked = level == month
     else:
         # An open end takes whole months on that side.
-        months = whole_months(first or date(1, 1, 1), last or date(9999, 11, 30))
+        months = whole_months(first or date(1900, 1, 1), last or date(9999, 11, 30))
         if months is None:
             picked = (level == day) & within
         else:
-            ragged = within & ((F.col("day") < F.lit(months[0])) | (F.col("day") > F.lit(months[1])))
-            of_month = F.col("year_month").between(months[0].strftime("%Y-%m"), months[1].strftime("%Y-%m"))
-            picked = ((level == month) & of_month) | ((level == day) & ragged)
+            ragged, of_month = F.lit(False), F.lit(True)
+            if first is not None:
+                ragged = ragged | (F.col("day") < F.lit(months[0]))
+                of_month = of_month & (F.col("year_month") >= months[0].strftime("%Y-%m"))
+            if last is not None:
+                ragged = ragged | (F.col("day") > F.lit(months[1]))
+                of_month = of_month & (F.col("year_month") <= months[1].strftime("%Y-%m"))
+            picked = ((level == month) & of_month) | ((level == day) & within & ragged)
     rows = cube.where(F.col("fact") == fact).where(level.isin(day, month)).where(picked)
     if stores is not None:
         rows = rows.where(F.col("store_name").isin(*stores))

@@ -12,16 +12,27 @@ from tallyhouse.schemas import ARRIVAL, GOLD_TABLES
 from tallyhouse.sources import audit, bronze, gold
 
 
-def silver_tables(tables, *, latest=True, lines=None):
-    """Staged tables from Bronze tables and the mapping; `lines` are POS lines staged already, without numbers."""
+def silver_tables(tables, *, latest=True, lines=None, newest=None):
+    """Staged tables from Bronze tables and the mapping; `lines` are POS lines staged already, without numbers.
+
+    `newest` names the newest arrival of datasets (see `recent_bronze`): their staging filters that folder by its name and
+    does not look for the greatest date in the data.
+    """
+    newest = newest or {}
+
+    def staged(name, stage, *others):
+        if name in newest:
+            return stage(tables[name].where(F.col(ARRIVAL) == F.lit(newest[name])), *others, latest=False)
+        return stage(tables[name], *others, latest=latest)
+
     if lines is None:
-        lines = staging.stage_pos_lines(tables["bronze_pos_transactions"], tables["product_name_mapping"], latest=latest)
+        lines = staged("bronze_pos_transactions", staging.stage_pos_lines, tables["product_name_mapping"])
     return {
         "stg_pos_transactions": staging.number_pos(lines),
-        "stg_product_costs": staging.stage_costs(tables["bronze_product_costs"], latest=latest),
-        "stg_recipes_bom": staging.stage_bom(tables["bronze_recipes_bom"], latest=latest),
-        "stg_daily_inventory": staging.stage_inventory(tables["bronze_daily_inventory"], latest=latest),
-        "stg_staff_shifts": staging.stage_shifts(tables["bronze_staff_shifts"], latest=latest),
+        "stg_product_costs": staged("bronze_product_costs", staging.stage_costs),
+        "stg_recipes_bom": staged("bronze_recipes_bom", staging.stage_bom),
+        "stg_daily_inventory": staged("bronze_daily_inventory", staging.stage_inventory),
+        "stg_staff_shifts": staged("bronze_staff_shifts", staging.stage_shifts),
         "stg_promotions": staging.stage_promotions(tables["bronze_promotions"]),
     }
 
@@ -65,7 +76,7 @@ def fact_tables(silver, dims):
     }
 
 
-def build_gold(spark, tables, root, *, calendar=None, lines=None):
+def build_gold(spark, tables, root, *, calendar=None, lines=None, newest=None):
     """Build and store the staged tables, then the dimensions, then the facts.
 
     Each stored layer ends the lineage of the next: POS lines are parsed,
@@ -74,7 +85,7 @@ def build_gold(spark, tables, root, *, calendar=None, lines=None):
     sales fact is partitioned by day, so reports on a date range read only its
     folders; the other facts are daily totals and too small for that.
     """
-    staged = silver_tables(tables, lines=lines)
+    staged = silver_tables(tables, lines=lines, newest=newest)
     for name, df in staged.items():
         gold.write_table(df, root, name, "silver")
     silver = {name: gold.read_table(spark, root, name, "silver") for name in staged}
@@ -87,17 +98,25 @@ def build_gold(spark, tables, root, *, calendar=None, lines=None):
 
 
 def recent_bronze(spark, root):
-    """Bronze tables for a daily run, with POS lines and shifts pruned to the snapshots it can use.
+    """(tables, newest): Bronze tables for a daily run without the history it can't use, and the newest arrival of each.
 
-    Staging and the gates look at the newest snapshot of each, or at the older
-    of the two. Both dates come from the folder listing, so history is not read.
+    Staging and the gates look at the newest snapshot, or, where lines meet shifts, at the older of the two newest. All
+    dates come from the folder listing, so other folders are not opened. Promotions count with all their loads.
     """
-    tables = bronze.read_all_bronze(spark, root)
-    pruned = ("bronze_pos_transactions", "bronze_staff_shifts")
-    newest = [bronze.latest_arrival(spark, bronze.dataset_path(root, name)) for name in pruned]
-    for name in pruned:
-        tables[name] = tables[name].where(F.col(ARRIVAL) >= F.lit(min(newest)))
-    return tables
+    paired = ("bronze_pos_transactions", "bronze_staff_shifts")
+    snapshots = (*paired, "bronze_product_costs", "bronze_recipes_bom", "bronze_daily_inventory")
+    newest = {name: bronze.latest_arrival(spark, bronze.dataset_path(root, name)) for name in snapshots}
+    newest = {name: date for name, date in newest.items() if date is not None}
+    tables = {}
+    for name in bronze.DATASETS:
+        if name in paired or name not in snapshots:
+            tables[name] = bronze.read_bronze(spark, root, name)
+        else:
+            tables[name] = bronze.read_bronze(spark, root, name, latest=True)
+    since = min(newest[name] for name in paired)
+    for name in paired:
+        tables[name] = tables[name].where(F.col(ARRIVAL) >= F.lit(since))
+    return tables, newest
 
 
 def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=None, calendar=None, keep_rejects=False):
@@ -107,7 +126,8 @@ def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=Non
     stored with their reasons, and the parity gate reads the counts of that scan instead of counting both layers.
     """
     store = audit.gate_store(f"{lake_root}/quality-gate-results")
-    tables = recent_bronze(spark, bronze_root) | {"product_name_mapping": mapping}
+    tables, newest = recent_bronze(spark, bronze_root)
+    tables |= {"product_name_mapping": mapping}
     step = "quality_gates_pre"
     try:
         profile = quality.pos_profile(tables["bronze_pos_transactions"])
@@ -117,9 +137,11 @@ def run_daily(spark, bronze_root, mapping, lake_root, run_date, *, export_to=Non
         step = "build"
         lines = None
         if keep_rejects:
-            tables["pos_line_counts"] = rejects.write_lines(spark, tables["bronze_pos_transactions"], lake_root)
+            name = "bronze_pos_transactions"
+            own = tables[name].where(F.col(ARRIVAL) == F.lit(newest[name]))
+            tables["pos_line_counts"] = rejects.write_lines(spark, own, lake_root, latest=False)
             lines = rejects.kept_lines(spark, lake_root, mapping)
-        silver, tables_out = build_gold(spark, tables, lake_root, calendar=calendar, lines=lines)
+        silver, tables_out = build_gold(spark, tables, lake_root, calendar=calendar, lines=lines, newest=newest)
         step = "quality_gates_post"
         after = tables | {"stg_pos_transactions": silver["stg_pos_transactions"]}
         quality.run_gates(spark, after, ["consistency", "parity"], run_date=run_date, store=store)

@@ -6,8 +6,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The planner may broadcast a join side below this size on its own.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Sizes up to which a join side is broadcast: as its files tell before the run, and as its shuffle output measures.
+    "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -75,9 +76,7 @@ def test_validity_bounds_belong_to_the_interval(rows):
     assert got == {DAY(2023, 1, 1): D(2), DAY(2023, 1, 31): D(2), DAY(2023, 2, 1): None}
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_overlapping_validity_duplicates_lines(rows, monkeypatch, broadcast):
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: broadcast)
+def test_overlapping_validity_duplicates_lines(rows):
     lines = rows([("a", DAY(2023, 1, 5))], "product_name string, transaction_date date")
     costs = rows([("a", D(2), DAY(2023, 1, 1), DAY(2023, 1, 31)), ("a", D(3), DAY(2023, 1, 5), DAY(2023, 2, 1))], COSTS)
     assert as_set(joins.join_valid(lines, costs), "unit_cost") == {(D(2),), (D(3),)}
@@ -85,31 +84,24 @@ def test_overlapping_validity_duplicates_lines(rows, monkeypatch, broadcast):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
 @pytest.mark.parametrize("null_safe", [True, False])
-def test_salted_lookup_equals_broadcast_lookup(rows, how, null_safe):
+def test_lookup_is_the_same_with_and_without_broadcast(spark, rows, how, null_safe):
     keys = [random.Random(7).choice(["hot", "hot", "hot", "b", "c", None]) for _ in range(300)]
     facts = rows([(k, i) for i, k in enumerate(keys)], "k string, i int")
     table = rows([("hot", 1), ("hot", 2), ("b", 3), (None, 4)], "k string, v int")
-    small = joins.lookup_join(facts, table, ["k"], how, null_safe=null_safe, broadcast=True)
-    large = joins.lookup_join(facts, table, ["k"], how, null_safe=null_safe, broadcast=False)
-    assert small.columns == large.columns
-    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
-
-
-def test_lookup_into_a_table_too_large_to_copy(rows, monkeypatch):
-    monkeypatch.setattr(joins, "SALTED_BYTES", 0)
-    facts, table = rows([("a", 1), ("b", 2)], "k string, i int"), rows([("a", 5)], "k string, v int")
-    out = joins.lookup_join(facts, table, ["k"], broadcast=False)
-    assert as_set(out) == {("a", 1, 5), ("b", 2, None)}
-
-
-def test_fits_broadcast_checks_the_size(rows, spark):
-    assert joins.fits_broadcast(rows([(1,)], "a int"))
-    wide = spark.range(10_000).select("id", F.repeat(F.lit("x"), 100).alias("t"))
-    assert not joins.fits_broadcast(wide, max_bytes=1_000)
-    # An estimate that is too high is settled by counting.
-    few = wide.groupBy((F.col("id") % 3).alias("k")).agg(F.count("*").alias("n"))
-    assert joins.fits_broadcast(few, max_bytes=1_000)
-    assert not joins.fits_broadcast(few, max_bytes=1_000, count=False)
+    out, setting = joins.lookup_join(facts, table, ["k"], how, null_safe=null_safe), "spark.sql.autoBroadcastJoinThreshold"
+    small = sorted(map(str, out.collect()))
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        again = joins.lookup_join(facts, table, ["k"], how, null_safe=null_safe)
+        assert again.columns == out.columns and sorted(map(str, again.collect())) == small
+    finally:
+        spark.conf.set(setting, before)
+    counts = Counter(keys)
+    nulls = counts[None] if null_safe else 0
+    matched = counts["hot"] + counts["b"] + nulls
+    want = {"left_semi": matched, "left_anti": 300 - matched, "inner": matched + counts["hot"], "left": 300 + counts["hot"]}
+    assert len(small) == want[how]
 
 
 def test_missing_in_ignores_null_keys(rows):
@@ -197,13 +189,12 @@ def test_period_growth(rows):
     assert got == [(None,), (D(50),), (D(-100),), (None,)]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_rank_equals_sorting(rows, monkeypatch, small):
-    monkeypatch.setattr(ordered, "fits_broadcast", lambda *a, **k: small)
+@pytest.mark.parametrize("parts", [1, 3, 200])
+def test_rank_equals_sorting(rows, parts):
     rng = random.Random(11)
     values = [D(rng.choice([-50, -3, 0, 0, 0, 7, 7, 1000, 1001, 1002, 10**9])) for _ in range(80)] + [None, None]
     df = rows(list(enumerate(values)), "i int, v decimal(14,2)")
-    got = dict(as_list(ordered.rank_by(df, "v"), "i", "rank"))
+    got = dict(as_list(ordered.rank_by(df, "v", parts=parts), "i", "rank"))
     present = [v for v in values if v is not None]
     for i, v in enumerate(values):
         assert got[i] == (1 + sum(o > v for o in present) if v is not None else 1 + len(present))

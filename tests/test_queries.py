@@ -4,7 +4,6 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_DIR
-from tallyhouse.operators import joins
 from workload.bound import Bound
 from workload.catalog import QUERIES
 from workload.compare import connect, differences
@@ -32,10 +31,11 @@ def test_query_matches_sql(bound, con, name):
 
 
 @pytest.mark.parametrize("name", ["stg_05_canonical_names", "jn_02_validity_join", "fct_02_waste", "dg_03_mapping_backlog"])
-def test_queries_hold_when_no_table_may_be_broadcast(spark, con, name, monkeypatch):
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_queries_hold_when_no_table_may_be_broadcast(spark, con, name):
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {setting: spark.conf.get(setting) for setting in settings}
+    for setting in settings:
+        spark.conf.set(setting, "-1")
     try:
         build, oracle = QUERIES[name]
         df = build(Bound(spark, SF_DIR))
@@ -43,7 +43,8 @@ def test_queries_hold_when_no_table_may_be_broadcast(spark, con, name, monkeypat
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "CartesianProduct" not in plan and "BroadcastHashJoin" not in plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for setting, value in before.items():
+            spark.conf.set(setting, value)
 
 
 def test_contract(spark):

@@ -37,6 +37,12 @@ def query(name, oracle=None, complete=False):
     return register
 
 
+def broken_key(column, every, rest):
+    """A key column of which one in `every` values points nowhere."""
+    key = F.col(column)
+    return F.when(key % every == rest, -key).otherwise(key).alias(column)
+
+
 def columns_of(alias, names):
     return ", ".join(f"{alias}.{n}" for n in names)
 
@@ -408,11 +414,13 @@ query("jn_17_scalar_subquery", """select transaction_id, product_id, unit_price
     )
 )
 
-query("jn_18_orphan_lines", """select l_orderkey, l_linenumber, l_partkey from lineitem
- where l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')""")(
+# A fiftieth of the lines names an order nobody has; all orders are looked up.
+query("jn_18_orphan_lines", """select l_orderkey, l_linenumber, l_partkey from (
+ select case when l_orderkey % 50 = 7 then -l_orderkey else l_orderkey end l_orderkey, l_linenumber, l_partkey from lineitem) l
+ where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)""")(
     lambda t: joins.missing_in(
-        t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey"),
-        t.table("orders").where("o_orderstatus = 'F'"),
+        t.table("lineitem").select(broken_key("l_orderkey", 50, 7), "l_linenumber", "l_partkey"),
+        t.table("orders"),
         {"l_orderkey": "o_orderkey"},
     )
 )
@@ -710,7 +718,7 @@ query("dq_04_known_stores", """select store_id, store_location, count(*) transac
     lambda t: quality.gate_known_stores(t.bronze, stores=(3, 5))
 )
 query("dq_05_cost_coverage", "select * from cost_gaps")(lambda t: quality.gate_cost_coverage(t.bronze))
-query("dq_06_inventory_continuity", """
+INVENTORY_GAPS = """
 select store_id, ingredient_name, yesterday_closing, today_opening, abs(today_opening - coalesce(yesterday_closing, 0)) discrepancy,
  case when yesterday_closing is null then 'WARNING: no inventory record for yesterday'
  else 'WARNING: inventory gap > 5 units between days' end status
@@ -720,7 +728,8 @@ from (select t.store_id, t.ingredient_name, cast(y.closing_stock as double) yest
  left join (select * from b_counts where inventory_date = (select max(inventory_date) from b_counts
  where inventory_date < (select max(inventory_date) from b_counts))) y
  on t.store_id = y.store_id and t.ingredient_name = y.ingredient_name)
-where yesterday_closing is null or abs(today_opening - yesterday_closing) > 5""")(
+where yesterday_closing is null or abs(today_opening - yesterday_closing) > 5"""
+query("dq_06_inventory_continuity", INVENTORY_GAPS)(
     lambda t: quality.gate_inventory_continuity(t.bronze)
 )
 query("dq_07_labor_ratio", f"""select store_id, labor labor_cost, sales revenue, {percent('labor', 'sales')} labor_pct,
@@ -740,11 +749,15 @@ GATE_COUNTS = {
  + (case when exists (select 1 from pos_latest where unit_price <= 0) then 1 else 0 end)""",
     "04_referential": "select count(*) from (select distinct store_id, store_location from pos_latest where store_id not in (3, 5, 8))",
     "05_cost_coverage": "select count(*) from cost_gaps",
+    "06_inventory": f"select count(*) from ({INVENTORY_GAPS})",
+    "07_labor_ratio": f"select count(*) from ({LAST_DAY}) where sales is null or sales <> 0 and labor * 100 > sales * 60",
+    "08_silver_parity": """select count(*) from (select (select count(*) from pos_latest) b, (select count(*) from lines) s)
+ where b > 0 and s < b * 0.99""",
 }
 query("dq_09_gate_runner", " union all ".join(
     f"""select '{g}' gate, '{quality.GATES[g].level}' "level", case when n = 0 then 'PASS' else 'FAIL' end status,
  cast(n as bigint) n_failures from (select ({q}) n)""" for g, q in GATE_COUNTS.items()
-))(lambda t: quality.gate_results(t.spark, t.bronze, quality.expand_blocks(["completeness", "integrity"])[0]))
+))(lambda t: quality.gate_results(t.spark, t.bronze, quality.expand_blocks()[0]))
 
 
 @query("dq_10_gate_report")
@@ -765,10 +778,11 @@ query("ct_01_unique", """select l_orderkey, count(*) n_records from lineitem whe
 query("ct_02_not_null", "select transaction_id, product_id, transaction_qty from b_pos where transaction_qty is null")(
     lambda t: constraints.not_null(t.b_pos.select("transaction_id", "product_id", "transaction_qty"), "transaction_qty")
 )
-query("ct_03_relationships", """select l_orderkey, l_partkey from lineitem where l_partkey is not null
- and l_partkey not in (select p_partkey from part where p_size > 10)""")(
+query("ct_03_relationships", """select l_orderkey, l_partkey from (
+ select l_orderkey, case when l_partkey % 40 = 3 then -l_partkey else l_partkey end l_partkey from lineitem) l
+ where l_partkey is not null and not exists (select 1 from part p where p.p_partkey = l.l_partkey)""")(
     lambda t: constraints.relationships(
-        t.table("lineitem").select("l_orderkey", "l_partkey"), "l_partkey", t.table("part").where("p_size > 10"), "p_partkey"
+        t.table("lineitem").select("l_orderkey", broken_key("l_partkey", 40, 3)), "l_partkey", t.table("part"), "p_partkey"
     )
 )
 query("ct_04_accepted_values", """select stockout_risk_flag, count(*) n_records from fct_inventory_snapshot
@@ -806,15 +820,15 @@ def t_backlog(t):
     return diagnostics.mapping_backlog(t.b_pos, t.b_mapping, t.b_costs, t.b_bom, no_recipe=("ECONOMY", "PROMO"))
 
 
-query("dg_01_products_without_cost", """select p.product_detail product_name, count(*) transactions, c.unit_cost,
- 'NO COST - map or extend synthetic catalog' status from b_pos p left join b_costs c on trim(p.product_detail) = trim(c.product_name)
- where p.ingestion_date is not null group by 1, 3 having c.unit_cost is null""")(
+# Counts per product first; then the products no cost names, and the number of ingredients of those a recipe names.
+query("dg_01_products_without_cost", """select product_detail product_name, n_lines transactions, cast(null as decimal(10,4)) unit_cost,
+ 'NO COST - map or extend synthetic catalog' status from sold_products
+where not exists (select 1 from b_costs where trim(b_costs.product_name) = trim(sold_products.product_detail))""")(
     lambda t: diagnostics.products_without_cost(t.b_pos, t.b_costs)
 )
-query("dg_02_recipe_coverage", """select p.product_detail product_name, count(distinct p.transaction_id) transactions,
- count(distinct b.ingredient_name) ingredients_in_recipe, case when count(distinct b.ingredient_name) = 0
- then 'NO RECIPE - map or extend synthetic catalog' else 'OK' end status from b_pos p
- left join b_bom b on trim(p.product_detail) = trim(b.product_name) where p.ingestion_date is not null group by 1""")(
+query("dg_02_recipe_coverage", """select product_detail product_name, n_orders transactions, coalesce(n_parts, 0) ingredients_in_recipe,
+ if(n_parts > 0, 'OK', 'NO RECIPE - map or extend synthetic catalog') status
+from sold_products left join recipe_parts on dish = trim(product_detail)""")(
     lambda t: diagnostics.recipe_coverage(t.b_pos, t.b_bom)
 )
 query("dg_03_mapping_backlog", "select * from backlog")(lambda t: diagnostics.order_backlog(t_backlog(t)))
