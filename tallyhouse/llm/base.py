@@ -93,6 +93,18 @@ def word_hashes(words):
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
+def release_workers(spark):
+    """Have the Python workers of all executors release what earlier stages left: a job of short tasks, some for each core."""
+    ship(spark)
+
+    def release(batches):
+        release_memory()
+        yield from batches
+
+    tasks = 8 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).mapInArrow(release, "id long").write.format("noop").mode("overwrite").save()
+
+
 # A word's hash is a polynomial of random numbers, one for each byte; white space counts as nothing, A-Z as a-z.
 LONG_WORD = 64
 BLOCK_BYTES = 1 << 16
