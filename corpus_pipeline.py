@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm import base, byte_bpe, decontamination, ngram_join, quality_cnn, substring_dedup
 
+# Stages share the executors' Python workers: each but the first begins by having them release what the last one left.
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -16,17 +18,20 @@ def quality_classifier(spark, docs, sf_dir):
 
 def ngram_jaccard_join(spark, docs, sf_dir):
     """One document of each near-duplicate group."""
+    base.release_workers(spark)
     return ngram_join.one_per_group(docs)
 
 
 def substring_dedup_stage(spark, docs, sf_dir):
     """Texts without passages that stand anywhere else; n_chars follows the text."""
+    base.release_workers(spark)
     cleaned = substring_dedup.without_repeats(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def benchmark_decontamination(spark, docs, sf_dir):
     """Documents without passages of the benchmark."""
+    base.release_workers(spark)
     return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -36,6 +41,7 @@ STAGE_BYTES, STAGE_PAIRS = 24 << 20, 200_000
 
 def byte_bpe_stage(spark, docs, sf_dir):
     """Token ids of every document, and whether they decode to its text."""
+    base.release_workers(spark)
     own = docs.select("doc_id", "lang", "source", "n_chars", "text")
     return byte_bpe.with_tokens(own, RANKS, public_tokenizers.PATTERN, STAGE_BYTES, STAGE_PAIRS)
 
