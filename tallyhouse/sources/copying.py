@@ -30,7 +30,10 @@ def _folders(spark, path, dates):
 
 
 def file_fingerprints(spark, path, dates):
-    """One row per file of these arrivals: arrival, file name, bytes and the fingerprint of its lines."""
+    """One row per file of these arrivals: arrival, file name, bytes and the fingerprint of its lines.
+
+    Files without a byte hold nothing to copy and have no row.
+    """
     folders = _folders(spark, path, dates)
     if not folders:
         return spark.createDataFrame([], FILES)
@@ -43,8 +46,7 @@ def file_fingerprints(spark, path, dates):
     lines = lines.select("value", arrival.alias("_arrival"), F.regexp_extract("path", "[^/]*$", 0).alias("_file"))
     prints = lines.groupBy("_arrival", "_file").agg(*fingerprint(["value"]))
     same = (F.col(ARRIVAL) == F.col("_arrival")) & (F.col("file") == F.col("_file"))
-    # An empty file has no line and the fingerprint of nothing.
-    return listed.join(prints, same, "left").select(ARRIVAL, "file", "bytes", *[F.coalesce(c, F.lit(0)).alias(c) for c in PARTS])
+    return listed.join(prints, same).select(ARRIVAL, "file", "bytes", *PARTS)
 
 
 def _copy_files(spark, source, target, dates):
@@ -81,7 +83,7 @@ def copy_arrivals(spark, source, target, dates, *, dataset=None):
             _copy_files(spark, source, target, stale)
         arrived = file_fingerprints(spark, target, stale).select(ARRIVAL, *PARTS).distinct().withColumn("_there", F.lit(True))
         status = (
-            F.when(~F.col(ARRIVAL).isin(*stale), "same").when(F.col("_there") | (F.col("n_rows") == 0), "copied").otherwise("failed")
+            F.when(~F.col(ARRIVAL).isin(*stale), "same").when(F.col("_there"), "copied").otherwise("failed")
             if stale else F.lit("same")
         )
         report = ours.join(arrived, [ARRIVAL, *PARTS], "left").select(
