@@ -22,15 +22,21 @@ RANK_PARTS = 200
 CARRY_DAYS = 64
 
 
+def _together(keys):
+    """The keys as one value, which equals another where both hold the same NULLs: joins and windows are dealt alike by it."""
+    return F.struct(*[F.col(k) for k in keys])
+
+
 def split_large_groups(df, keys, max_group_rows=MAX_GROUP_ROWS):
-    """Rows of ordinary groups and rows of groups above the limit, both as plans; nothing runs here.
+    """Rows of ordinary groups and rows of groups above the limit, both with `_group` and both as plans; nothing runs here.
 
     Group sizes come from one narrow aggregate. Without large groups the second plan turns out empty while it runs, and the
-    adaptive planner leaves out all that would follow.
+    adaptive planner leaves out all that would follow. Rows are dealt by `_group`, once for both plans and for a window by it.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > max_group_rows).select(*[F.col(k).alias(f"_{k}_ref") for k in keys])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}_ref")) for k in keys])
+    df = df.withColumn("_group", _together(keys))
+    sizes = df.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"))
+    large = sizes.where(F.col("_rows") > max_group_rows).select(F.col("_group").alias("_ref"))
+    same = F.col("_group") == F.col("_ref")
     return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
 
 
@@ -48,14 +54,36 @@ def number_lines(df, partition, order, *, name="transaction_line_number", max_gr
     instead of one sorted task.
     """
     plain, large = split_large_groups(df, partition, max_group_rows)
-    over = Window.partitionBy(*partition).orderBy(*total_order(df, partition, order))
-    plain = plain.withColumn(name, F.row_number().over(over).cast("bigint"))
-    return plain.unionByName(_number_large(large, partition, order, name))
+    over = Window.partitionBy("_group").orderBy(*total_order(df, partition, order))
+    plain = plain.withColumn(name, F.row_number().over(over).cast("bigint")).drop("_group")
+    return plain.unionByName(_number_large(large.drop("_group"), partition, order, name, max_group_rows))
 
 
-def _number_large(df, partition, order, name):
+def _number_large(df, partition, order, name, max_group_rows):
     """Numbering without a task that holds a whole group.
 
+    Rows are dealt by their group and the first order column. Counts of that column's values tell how many rows of the group
+    come before, and the rows of one value are numbered among themselves: in a window, or from counts where they are too many.
+    """
+    first, columns = order[0], df.columns
+    keys = [*partition, first]
+    rows = df.withColumn("_part", _together(keys))
+    parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    parts = parts.withColumn("_group", F.struct(*[F.col(f"_part.`{k}`").alias(k) for k in partition]))
+    over = Window.partitionBy("_group").orderBy(F.asc_nulls_last(f"_part.`{first}`")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("_part").alias("_ref"), "_rows", F.coalesce(F.sum("_rows").over(over), F.lit(0)).alias("_before"))
+    same = F.col("_part") == F.col("_ref")
+    plain = rows.join(parts.where(F.col("_rows") <= max_group_rows), same)
+    large = rows.join(parts.where(F.col("_rows") > max_group_rows), same).select(*columns, "_before")
+    over = Window.partitionBy("_part").orderBy(*(total_order(df, keys, order[1:]) or [F.lit(0)]))
+    plain = plain.select(*columns, "_before", F.row_number().over(over).cast("bigint").alias(name))
+    numbered = plain.unionByName(_number_counted(large, keys, order[1:], name))
+    return numbered.select(*columns, (F.col(name) + F.col("_before")).alias(name))
+
+
+def _number_counted(df, partition, order, name):
+    """Numbering from counts.
+
     Identical rows collapse to a count before any shuffle. The rows ahead of a
     row are then added up one order column at a time: each window runs over the
     counts of one column's distinct values, not over rows.
@@ -73,7 +101,7 @@ def _number_large(df, partition, order, name):
                 "_ahead", F.col("_ahead") + F.col("_step")
             ).drop("_step")
         prefix.append(column)
-    runs = lookup_join(runs, ahead, prefix, "inner", null_safe=True)
+    runs = lookup_join(runs, ahead, prefix, "inner", null_safe=True) if order else runs.withColumn("_ahead", F.lit(0))
     rest = [c for c in df.columns if c not in prefix] or prefix
     over = Window.partitionBy(*prefix).orderBy(*[F.asc_nulls_last(c) for c in rest]).rowsBetween(Window.unboundedPreceding, -1)
     first = F.col("_ahead") + F.coalesce(F.sum("_copies").over(over), F.lit(0))
@@ -101,9 +129,9 @@ def trailing_avg(df, keys, order, value, n=7, *, name="trailing_avg", total="tra
         over = Window.partitionBy(*groups).orderBy(*by).rowsBetween(-(n - 1), 0)
         return rows.withColumns({total: F.sum(value).over(over), count: F.count(value).over(over)})
 
-    out = means(plain, keys, total_order(df, keys, [order]))
-    # All of these series are large: they are numbered from counts right away.
-    numbered = _number_large(large, keys, [order], "_n")
+    out = means(plain, ["_group"], total_order(df, keys, [order])).drop("_group")
+    # All of these series are large: they are numbered as such right away.
+    numbered = _number_large(large.drop("_group"), keys, [order], "_n", max_group_rows)
     block = F.floor((F.col("_n") - 1) / BLOCK_ROWS)
     own = numbered.withColumns({"_block": block, "_own": F.lit(True)})
     tail = own.where(F.pmod(F.col("_n") - 1, F.lit(BLOCK_ROWS)) >= BLOCK_ROWS - (n - 1))

@@ -302,3 +302,10 @@ def test_tied_rows_are_numbered_alike_whatever_the_group_limit(rows):
         for limit in (1, 2, 10, 1_000_000)
     }
     assert len({tuple(v) for v in means.values()}) == 1
+
+
+def test_numbering_deals_ordinary_groups_once(rows):
+    plan = ordered.number_lines(rows([("t", 1, 2)], "t string, a int, z int"), ["t"], ["a"])._jdf.queryExecution().executedPlan()
+    before_join = plan.toString().split("LeftAnti")[0]
+    # The window is dealt by the very value that the join below it is dealt by.
+    assert "Window" in before_join and "Exchange" not in before_join
