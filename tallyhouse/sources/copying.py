@@ -1,12 +1,14 @@
 """Copies of arrivals that skip what is equal and prove themselves complete.
 
 A file is compared by the multiset of its lines (count, sum and xor of hashes), so nothing is parsed and the fingerprints
-of files add up to that of an arrival. Files travel as text on the executors, one record and one target file each: quoting,
-headers and odd bytes stay as they are; only a last line without a line feed gains one.
+of files add up to that of an arrival. Files travel as lines on the executors, one target file each: quoting, headers and
+odd bytes stay as they are; only a last line without a line feed gains one.
 """
 
+import codecs
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,22 @@ def _folders(spark, path, dates):
     return [f"{path}/{ARRIVAL}={date}" for date in dates if exists(spark, f"{path}/{ARRIVAL}={date}")]
 
 
+def _place(arrival, file):
+    return F.regexp_extract("path", f"{ARRIVAL}=([^/]*)/[^/]*$", 1).alias(arrival), F.regexp_extract("path", "[^/]*$", 0).alias(file)
+
+
+def _listed(spark, folders):
+    return spark.read.format("binaryFile").load(folders).select(*_place(ARRIVAL, "file"), F.col("length").alias("bytes"))
+
+
+def _lines(spark, folders):
+    """Lines of the files as they lie: value, path, and the place in the file as (_from, _line)."""
+    return spark.read.option("lineSep", "\n").text(folders).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_from"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+
+
 def file_fingerprints(spark, path, dates):
     """One row per file of these arrivals: arrival, file name, bytes and the fingerprint of its lines.
 
@@ -37,31 +55,56 @@ def file_fingerprints(spark, path, dates):
     folders = _folders(spark, path, dates)
     if not folders:
         return spark.createDataFrame([], FILES)
-    arrival = F.regexp_extract("path", f"{ARRIVAL}=([^/]*)/[^/]*$", 1)
-    listed = spark.read.format("binaryFile").load(folders).select(
-        arrival.alias(ARRIVAL), F.regexp_extract("path", "[^/]*$", 0).alias("file"), F.col("length").alias("bytes")
-    )
-    lines = spark.read.option("lineSep", "\n").text(folders)
-    lines = lines.select("value", F.col("_metadata.file_path").alias("path"))
-    lines = lines.select("value", arrival.alias("_arrival"), F.regexp_extract("path", "[^/]*$", 0).alias("_file"))
-    prints = lines.groupBy("_arrival", "_file").agg(*fingerprint(["value"]))
+    prints = _lines(spark, folders).groupBy("path").agg(*fingerprint(["value"])).select(*_place("_arrival", "_file"), *PARTS)
     same = (F.col(ARRIVAL) == F.col("_arrival")) & (F.col("file") == F.col("_file"))
-    return listed.join(prints, same).select(ARRIVAL, "file", "bytes", *PARTS)
+    return _listed(spark, folders).join(prints, same).select(ARRIVAL, "file", "bytes", *PARTS)
+
+
+def _with_mark(batches):
+    """The lines of one file, with the byte order mark before the first that the reader of lines leaves out."""
+    marked = False
+    for batch in batches:
+        if batch.num_rows and not marked:
+            lines = batch["value"].to_pylist()
+            batch, marked = pa.record_batch([pa.array([codecs.BOM_UTF8 + lines[0], *lines[1:]], pa.binary())], ["value"]), True
+        yield batch
 
 
 def _copy_files(spark, source, target, dates):
-    """Write every file of the arrivals to the target, replacing just these arrivals."""
+    """Write every file of the arrivals to the target, replacing just these arrivals.
+
+    Files are read in pieces, several tasks to a large one, and each is written by one task, line by line as they lay:
+    no task holds a file in memory.
+    """
     folders = _folders(spark, source, dates)
-    whole = spark.read.option("basePath", str(source)).text(folders, wholetext=True)
-    raw = F.col("value").cast("binary")
-    # The writer ends each record with a line feed.
-    body = F.when(F.col("value").endswith("\n"), F.substring(raw, 1, F.octet_length("value") - 1)).otherwise(raw).cast("string")
-    rows = whole.where(F.octet_length("value") > 0).select(body.alias("value"), F.col(ARRIVAL).cast("string").alias(ARRIVAL))
+    lines = _lines(spark, folders)
+    # A file that is longer than its lines begins with a byte order mark.
+    sizes = lines.groupBy("path").agg(F.sum(F.octet_length("value") + F.lit(1)).alias("_written"))
+    sizes = sizes.select("path", "_written", *_place("_arrival", "_file"))
+    same = (F.col("_arrival") == F.col(ARRIVAL)) & (F.col("_file") == F.col("file"))
+    files = sizes.join(_listed(spark, folders), same, "left").select("path", "_arrival", F.expr("bytes > _written + 1").alias("_mark"))
+    plain, marked = [], {}
+    for path, date, mark in files.collect():
+        own = marked.setdefault(date, []) if mark else plain
+        own.append((path, date, len(own)))
     for date in dates:
         if exists(spark, f"{target}/{ARRIVAL}={date}"):
             delete(spark, f"{target}/{ARRIVAL}={date}")
-    writer = rows.write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", "\n")
-    writer.partitionBy(ARRIVAL).text(str(target))
+
+    def in_order(own):
+        # The date must not be nullable: the writer would sort the lines anew.
+        numbers = spark.createDataFrame(own, f"path string not null, {ARRIVAL} string not null, _at int not null")
+        dealt = lines.join(F.broadcast(numbers), "path").repartitionById(len(own), F.col("_at"))
+        return dealt.sortWithinPartitions(ARRIVAL, "_from", "_line")
+
+    if plain:
+        rows = in_order(plain).select("value", ARRIVAL)
+        rows.write.mode("append").option("lineSep", "\n").partitionBy(ARRIVAL).text(str(target))
+    for date, own in marked.items():
+        rows = in_order(own).select(F.col("value").cast("binary").alias("value")).mapInArrow(_with_mark, "value binary")
+        rows.select(F.col("value").cast("string").alias("value")).write.mode("append").option("lineSep", "\n").text(
+            f"{target}/{ARRIVAL}={date}"
+        )
 
 
 def copy_arrivals(spark, source, target, dates, *, dataset=None):

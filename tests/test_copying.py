@@ -51,6 +51,28 @@ def test_files_are_copied_whole_and_equal_arrivals_left_alone(spark, tmp_path):
     assert kept and all(p.stat().st_mtime_ns == t for p, t in kept.items())
 
 
+def test_files_larger_than_a_piece_are_copied_line_by_line(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    bodies = [b"".join(b"%d,%d\n" % (number, i) for i in range(3000)) for number in range(3)]
+    bodies.append(b"\xef\xbb\xbf" + bodies[0] + b"\r\n\n")
+    for number, body in enumerate(bodies):
+        put(source, "2023-06-14", f"{number}.csv", body)
+    put(source, "2023-06-15", "one.csv", b"a\n")
+    # A setting for this test only, so that small files are read in pieces.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    reads, reader = [], type(spark.read)
+    text = reader.text
+    try:
+        reader.text = lambda self, *a, **k: reads.append(k.get("wholetext")) or text(self, *a, **k)
+        copying.copy_arrivals(spark, source, target, ["2023-06-14", "2023-06-15"])
+    finally:
+        reader.text = text
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert contents(target, "2023-06-14") == sorted(bodies) and contents(target, "2023-06-15") == [b"a\n"]
+    # No task reads a file as one value.
+    assert reads and not any(reads)
+
+
 def test_a_file_that_does_not_arrive_fails(spark, tmp_path, monkeypatch):
     source, target = str(tmp_path / "a"), str(tmp_path / "b")
     put(source, "2023-06-14", "one.csv", b"a,b\n1,2\n")
