@@ -9,15 +9,11 @@ millionths: sums do not depend on the order of rows or tasks.
 import numpy as np
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import base
-
 # White space between words, as a pattern.
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
 BUCKETS = 10_000
 UNIT = 1_000_000
-# Trusted documents used, about. The target multinomial has so few cells that more would not change it.
-TRUSTED = 10_000
 # A document whose n-grams are, in the mean, this much likelier in the raw corpus than in the target (nats) goes.
 THRESHOLD = -0.12
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -39,10 +35,10 @@ def gram_buckets(words="words"):
 def ratios(docs, trusted):
     """Log-ratio of target to raw per bucket, in millionths, as a list of BUCKETS numbers.
 
-    `trusted` is a table of doc_ids of bounded size. Counts are summed per bucket before anything is shuffled; without
-    trusted documents all ratios are 0.
+    `trusted` is a table of doc_ids, of any size: the planner broadcasts a small one. Counts are summed per bucket before
+    they are shuffled; without trusted documents all ratios are 0.
     """
-    flags = F.broadcast(trusted.select(F.col("doc_id").alias("t_id")).distinct())
+    flags = trusted.select(F.col("doc_id").alias("t_id")).distinct()
     flagged = docs.join(flags, F.col("doc_id") == F.col("t_id"), "left")
     grams = with_words(flagged.select("text", F.col("t_id").isNotNull().cast("long").alias("target")))
     counts = (
@@ -63,9 +59,8 @@ def ratios(docs, trusted):
 
 
 def trusted_ids(labels):
-    """doc_ids of labelled good documents, a sample of bounded size."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id", "quality").distinct()
-    return base.bounded_sample(good, "quality", TRUSTED)[0].select("doc_id")
+    """doc_ids of all labelled good documents."""
+    return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
 def repeated_words(docs):
@@ -118,7 +113,7 @@ def base_counts(docs):
 def quality_rules(docs, trusted, threshold=THRESHOLD):
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score.
 
-    `docs` needs doc_id and text, `trusted` doc_ids of target documents (a table of bounded size). A null text counts as
+    `docs` needs doc_id and text, `trusted` doc_ids of target documents. A null text counts as
     empty, has no words and fails the base rules. The score is in nats per n-gram, 0 without n-grams. Ids may be null or
     repeated. An empty table gives an empty result.
     """

@@ -412,3 +412,10 @@ def test_bounded_sample(spark):
     sample, sizes = base.bounded_sample(rows, "y", 1000)
     found = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     assert sizes == {0: 18000, 1: 2000} and all(850 < n < 1150 for n in found.values())
+
+
+def test_all_labelled_good_documents_are_trusted(spark):
+    labels = spark.range(24_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality").union(
+        spark.sql("select cast(null as bigint), 1 union all select 1L, 1")
+    )
+    assert quality_rules.trusted_ids(labels).count() == 12_000
