@@ -84,6 +84,13 @@ CHECKS = {
 }
 
 
+def tested_columns(table, tests=GOLD_TESTS):
+    """Columns of a table that the declared tests look at, as a child or as a parent."""
+    own = [column for name, column, _, _ in tests if name == table]
+    parents = [arguments["field"] for _, _, _, arguments in tests if arguments.get("parent") == table]
+    return list(dict.fromkeys([*own, *parents]))
+
+
 def constraint_violations(gold, test):
     """The violating rows of one declared test."""
     table, column, check, arguments = test

@@ -6,9 +6,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_list, as_set
+from conftest import SF_DIR, as_list, as_set
 from tallyhouse.operators import constraints
 from tallyhouse.plans import daily, diagnostics, dimensions, facts, generate, intermediate, kpis, quality
+from workload import catalog
+from workload.bound import Bound
 
 D = Decimal
 DAY = dt.date
@@ -294,3 +296,10 @@ def test_calendar_spans_all_business_dates(rows):
     }
     days = [r.full_date for r in daily.business_calendar(silver).orderBy("full_date").collect()]
     assert days[0] == dt.date(2023, 12, 30) and days[-1] == dt.date(2024, 1, 4) and len(days) == 6
+
+
+def test_gold_tests_read_each_fact_from_a_stored_table(spark):
+    report = catalog.QUERIES["ct_all_gold_tests"][0](Bound(spark, SF_DIR))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    # The facts are not worked out again by each test.
+    assert "lineitem" not in plan and "l_orderkey" not in plan and "RowNumber" not in plan and "row_number" not in plan
