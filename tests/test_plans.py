@@ -303,3 +303,9 @@ def test_gold_tests_read_each_fact_from_a_stored_table(spark):
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     # The facts are not worked out again by each test.
     assert "lineitem" not in plan and "l_orderkey" not in plan and "RowNumber" not in plan and "row_number" not in plan
+
+
+def test_lines_are_worked_out_once_for_all_gold_tables(spark):
+    bound = Bound(spark, SF_DIR)
+    waste = bound.full_gold["fct_waste"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in waste

@@ -77,7 +77,12 @@ class Bound:
 
     lines = cached_property(lambda self: staging.stage_pos_lines(self.b_pos, self.b_mapping))
     # Numbering looks for large transactions first, so it reads the lines twice: store them once.
-    silver_lines = cached_property(lambda self: self.stored(self.lines, "stg_pos_lines"))
+    # So is the mapping before: its true size decides how it is joined.
+    silver_lines = cached_property(
+        lambda self: self.stored(
+            staging.stage_pos_lines(self.b_pos, self.stored(self.b_mapping, "mapping")), "stg_pos_lines"
+        )
+    )
     stg_pos = cached_property(lambda self: staging.number_pos(self.silver_lines))
     stg_costs = cached_property(lambda self: staging.stage_costs(self.b_costs))
     stg_bom = cached_property(lambda self: staging.stage_bom(self.b_bom))
@@ -135,9 +140,11 @@ class Bound:
 
     @cached_property
     def full_gold(self):
+        """All Gold tables from lines, costs and recipes that are worked out once."""
+        self.lines = self.silver_lines
+        self.b_costs, self.b_bom = self.stored(self.b_costs, "costs"), self.stored(self.b_bom, "bom")
         return LazyGold(self, {})
 
-
     def silver(self):
         return {
             "stg_pos_transactions": self.stored(self.stg_pos, "stg_pos_transactions"),
