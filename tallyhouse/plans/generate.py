@@ -80,6 +80,11 @@ def _days(first, last):
     return F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
 
 
+def _spread(entities):
+    """Entities dealt evenly over tasks: a few in one small file expand to many rows each."""
+    return entities.repartition(int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def generate_daily_inventory(stores, ingredients=fixed.INGREDIENTS, *, seed=SEED, first_day=FIRST_DAY, last_day=LAST_DAY):
     """Stock of each ingredient and store, day by day.
 
@@ -88,7 +93,7 @@ def generate_daily_inventory(stores, ingredients=fixed.INGREDIENTS, *, seed=SEED
     days; series spread over the cluster.
     """
     names = F.array(*[F.lit(i[0]) for i in ingredients])
-    series = stores.select("store_id", "store_name", F.explode(names).alias("ingredient_name"))
+    series = _spread(stores.select("store_id", "store_name", F.explode(names).alias("ingredient_name")))
     key = ("store_id", "ingredient_name")
 
     def drawn(low, high, scale, label):
@@ -154,7 +159,7 @@ def generate_staff_shifts(stores, shifts=fixed.SHIFTS, *, seed=SEED, first_day=F
         ]
     )
     rows = (
-        stores.select("store_id", "store_name", F.explode(_days(first_day, last_day)).alias("shift_date"))
+        _spread(stores).select("store_id", "store_name", F.explode(_days(first_day, last_day)).alias("shift_date"))
         .withColumn("s", F.explode(plan))
         .select("*", "s.*")
     )

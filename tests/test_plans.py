@@ -309,3 +309,11 @@ def test_lines_are_worked_out_once_for_all_gold_tables(spark):
     bound = Bound(spark, SF_DIR)
     waste = bound.full_gold["fct_waste"]._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in waste
+
+
+def test_few_stores_in_one_file_are_generated_by_many_tasks(spark):
+    stores = spark.range(60).selectExpr("cast(id as int) store_id", "'s' store_name").coalesce(1)
+    for made in (
+        generate.generate_daily_inventory(stores, last_day="2023-01-02"), generate.generate_staff_shifts(stores, last_day="2023-01-02")
+    ):
+        assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
