@@ -419,3 +419,25 @@ def test_all_labelled_good_documents_are_trusted(spark):
         spark.sql("select cast(null as bigint), 1 union all select 1L, 1")
     )
     assert quality_rules.trusted_ids(labels).count() == 12_000
+
+
+def test_toxicity_looks_up_texts_together(spark):
+    rng = np.random.default_rng(5)
+    vectors = [toxicity.vector({int(p): int(p) % 4 + 1 for p in rng.choice(90, 9, replace=False)}, np.ones(100)) for _ in range(333)]
+    index = toxicity.BlockMaxIndex(vectors, 90)
+    assert 0 < index.dense.shape[1] < 90
+    for (p, w), (q, x) in zip(index.vectors(30, 333), vectors[30:]):
+        assert np.array_equal(p, q) and np.array_equal(w, x)
+    queries_ = [*vectors[:40], (np.empty(0, np.int64), np.empty(0)), (np.array([95]), np.ones(1))]
+    for i, ((p, w), (near, similar)) in enumerate(zip(queries_, index.nearest_each(queries_, 400, list(range(42))))):
+        full = np.array([sum(x[q == a].sum() * b for a, b in zip(p, w)) for q, x in vectors])
+        full[i] = 0
+        order = [j for j in np.lexsort((np.arange(333), -full.round(12))) if full[j] > 0]
+        assert near.tolist() == order and np.allclose(similar, full[order])
+    for few, all_ in zip(index.nearest_each(queries_, 15), index.nearest_each(queries_, 400)):
+        assert np.array_equal(few[0], all_[0][:15])
+    # Terms are places by hash; the driver and the workers hold no texts of them.
+    found, worth = toxicity.example_terms(spark.createDataFrame([("b\u00e9 a a", 1), ("a longer", 0)], "text string, toxic int"))
+    assert found.dtype == np.uint64 and len(found) == len(worth) == 4
+    own = toxicity.Terms(found)
+    assert own.counts("A longer a \u4e2d") == {0: 2, 2: 1, 3: 1, 4 + toxicity.xxh3_64_intdigest("\u4e2d") % toxicity.UNSEEN: 1}
