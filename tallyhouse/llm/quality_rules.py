@@ -1,4 +1,4 @@
-"""Quality rules with a log-likelihood ratio of hashed n-grams, all in DataFrame functions.
+"""Quality rules with a log-likelihood ratio of hashed n-grams, in DataFrame functions but for a filter of ids.
 
 Words and pairs of words are hashed into a fixed number of buckets. Two multinomials over the buckets are estimated: of
 trusted target texts and of the whole raw corpus. A document's score is the mean logarithm of their ratio over its
@@ -7,8 +7,11 @@ millionths: sums do not depend on the order of rows or tasks.
 """
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from tallyhouse.llm import base
+
 # White space between words, as a pattern.
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -32,15 +35,34 @@ def gram_buckets(words="words"):
     )
 
 
+def flagged_texts(docs, trusted):
+    """(text, target) of every document, target being 1 for trusted ones and 0 for others.
+
+    A filter of fixed size passes all trusted ids and few others: what it holds back is not trusted and needs no join.
+    """
+    flags = trusted.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("t_id")).distinct()
+    base.ship(docs.sparkSession)
+    shared = base.membership_filter(flags, "t_id")
+
+    @F.pandas_udf("boolean")
+    def maybe(ids: pd.Series) -> pd.Series:
+        return pd.Series(base.maybe_member(shared.value, ids.to_numpy(np.int64).view(np.uint64)))
+
+    # A null id is never trusted; the filter itself gets no nulls.
+    rows = docs.withColumn("maybe", F.col("doc_id").isNotNull() & maybe(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
+    near = rows.where("maybe").join(flags, F.col("doc_id") == F.col("t_id"), "left")
+    near = near.select("text", F.col("t_id").isNotNull().cast("long").alias("target"))
+    return near.union(rows.where("not maybe").select("text", F.lit(0).cast("long").alias("target")))
+
+
 def ratios(docs, trusted):
     """Log-ratio of target to raw per bucket, in millionths, as a list of BUCKETS numbers.
 
-    `trusted` is a table of doc_ids, of any size: the planner broadcasts a small one. Counts are summed per bucket before
-    they are shuffled; without trusted documents all ratios are 0.
+    `trusted` is a table of doc_ids, of any size; without trusted documents all ratios are 0. Counts are summed per bucket
+    before they are shuffled. Only texts that may be trusted are shuffled to the ids, if these are too many to be broadcast.
     """
-    flags = trusted.select(F.col("doc_id").alias("t_id")).distinct()
-    flagged = docs.join(flags, F.col("doc_id") == F.col("t_id"), "left")
-    grams = with_words(flagged.select("text", F.col("t_id").isNotNull().cast("long").alias("target")))
+    flagged = flagged_texts(docs, trusted)
+    grams = with_words(flagged)
     counts = (
         grams.select("target", F.explode(gram_buckets()).alias("bucket"))
         .groupBy("bucket")

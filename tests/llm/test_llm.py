@@ -441,3 +441,14 @@ def test_toxicity_looks_up_texts_together(spark):
     assert found.dtype == np.uint64 and len(found) == len(worth) == 4
     own = toxicity.Terms(found)
     assert own.counts("A longer a \u4e2d") == {0: 2, 2: 1, 3: 1, 4 + toxicity.xxh3_64_intdigest("\u4e2d") % toxicity.UNSEEN: 1}
+
+
+def test_texts_that_are_not_trusted_are_not_joined(spark):
+    docs = spark.createDataFrame([(i % 900 if i % 7 else None, f"t{i}") for i in range(1000)], "doc_id long, text string").repartition(3)
+    trusted = spark.createDataFrame([(i,) for i in [*range(0, 900, 5), 5, 10**15, None]], "doc_id long")
+    flagged = quality_rules.flagged_texts(docs, trusted)
+    got = {r.text: r.target for r in flagged.collect()}
+    assert len(got) == 1000 and got == {r.text: int(r.doc_id is not None and r.doc_id % 5 == 0) for r in docs.collect()}
+    # The filter holds back most of the others, so that they never reach the join.
+    bits = base.membership_filter(trusted, "doc_id").value
+    assert base.maybe_member(bits, np.arange(10**6, 10**6 + 10**5, dtype=np.uint64)).mean() < 0.01
