@@ -20,6 +20,8 @@ from tallyhouse.llm.wavelet import from_file, to_file
 # Ids in one file, about; a document is never divided.
 SHARD_IDS = 1_000_000
 END_ID = 0
+# What most often follows a word; each is a match by itself behind letters.
+MARKS = frozenset(".,;:!?)\"")
 
 SHARD_SCHEMA = "part int, number int, start long, n_tokens long, n_docs int, content binary"
 
@@ -50,18 +52,25 @@ class Encoding:
         self.added = [token.content for token in own.get_added_tokens_decoder().values()]
         tokenize, letters, find = own.model.tokenize, byte_letters(), pattern(PATTERN).findall
 
-        space = letters[32]
+        def whole_match(match):
+            # Letters of ASCII stand for themselves; of the rest only the space before them may be plain.
+            if match.isascii() and match.lstrip(" ").isalpha():
+                match = match.replace(" ", letters[32])
+            else:
+                match = match.encode().decode("latin-1").translate(letters)
+            return [t.id for t in tokenize(match)]
 
         def encode(part):
-            word = part[1:] if part[0] == " " else part
-            if word.isalpha() and word.isascii():
-                # Plain letters, with or without a space before them, are one match.
-                return [t.id for t in tokenize(part if word is part else space + word)]
+            # Letters, with or without a space before them, are one match; so is the mark behind them.
+            if (part[1:] if part[0] == " " else part).isalpha():
+                return whole_match(part)
+            if part[-1] in MARKS and (part[1:-1] if part[0] == " " else part[:-1]).isalpha():
+                return self.memory[part[:-1]] + self.memory[part[-1]]
             matches = find(part)
             if len(matches) == 1:
-                return [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]
+                return whole_match(part)
             # A match is a part too, and remembered like one.
-            return np.frombuffer(b"".join(map(self.memory.__getitem__, matches)), "<u4").tolist()
+            return b"".join(map(self.memory.__getitem__, matches))
 
         self.memory = Remembering(encode, whole=self.whole)
 

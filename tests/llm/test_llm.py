@@ -452,3 +452,20 @@ def test_texts_that_are_not_trusted_are_not_joined(spark):
     # The filter holds back most of the others, so that they never reach the join.
     bits = base.membership_filter(trusted, "doc_id").value
     assert base.maybe_member(bits, np.arange(10**6, 10**6 + 10**5, dtype=np.uint64)).mean() < 0.01
+
+
+def test_words_with_a_mark_need_no_pattern(monkeypatch):
+    class Refusing:
+        def findall(self, part):
+            # A mark by itself is looked up once.
+            assert len(part) == 1
+            return [part]
+
+    text = "Grüße, schöne wörter. Ελλάδα! (nur) das\nHaus? naïve:\n" * 2
+    library = Tokenizer.from_file(queries.TOKENIZER)
+    for part in ("a1 it's 'tis x's. don't!!", ". , ! a.b ab.. é. ́a, á,", "4, ²; ½. ٣!"):
+        assert token_shards.tokenizer(queries.TOKENIZER).ids(part).tolist() == library.encode(part, add_special_tokens=False).ids
+    monkeypatch.setattr(token_shards, "pattern", lambda source: Refusing())
+    own = token_shards.Encoding(queries.TOKENIZER)
+    plain = text.replace("(", "").replace("\n", " ")[:-1]
+    assert own.ids(plain).tolist() == library.encode(plain, add_special_tokens=False).ids
