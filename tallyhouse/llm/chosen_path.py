@@ -276,17 +276,15 @@ def settle(label, sketches, grams, side, percent):
     return links
 
 
-def settled(units, grams, known, percent):
+def settled(units, grams, percent):
     """Links (a, b) between sets of different groups within units.
 
-    `units` has unit, sig, size, label and side (null, or the block a set stands in); `grams` (sign, grams) and `known`
-    (signature, sketch) give their sets and sketches.
+    `units` has unit, sig, size, label and side (null, or the block a set stands in); `grams` (sign, grams) gives their sets.
+    Sketches are made again of the sets, which takes less than bringing the two together.
     """
     total = units.agg(F.sum("size")).first()[0] or 0
     buckets = max(BUCKETS_AT_LEAST, int(total // BUCKET_GRAMS))
-    sketches = known.select(F.col("signature").alias("sign"), "sketch").dropDuplicates(["sign"])
-    full = base.stored(grams.join(sketches, "sign"), "full")
-    rows = units.join(full, units["sig"] == full["sign"]).select("unit", "sig", "label", "side", "sketch", "grams")
+    rows = units.join(grams, units["sig"] == grams["sign"]).select("unit", "sig", "label", "side", "grams")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("unit"), F.lit(buckets)))
 
     def in_bucket(rows):
@@ -294,8 +292,8 @@ def settled(units, grams, known, percent):
         for _, unit in rows.groupby("unit", sort=False):
             unit = unit.sort_values("sig")
             sig = unit["sig"].to_numpy()
-            sketches = np.frombuffer(b"".join(unit["sketch"]), np.uint32).reshape(-1, COORDINATES)
             sets = [np.frombuffer(g, np.uint64) for g in unit["grams"]]
+            sketches = np.array([sketch(g) for g in sets])
             side = None if unit["side"].isna().any() else unit["side"].to_numpy()
             pairs = settle(unit["label"].to_numpy(), sketches, sets, side, percent)
             found += [(min(sig[u], sig[v]), max(sig[u], sig[v])) for u, v in pairs]
@@ -373,7 +371,7 @@ def links(docs, sets, width=WIDTH, percent=PERCENT, recall=RECALL):
         later = opened.where(F.col("members") > LIMIT)
         more = turn < ROUNDS and not later.isEmpty()
         now = opened.where(F.col("members") <= LIMIT) if more else opened
-        new = base.stored(settled(base.stored(units_of(now), "units"), grams, known, percent), "links")
+        new = base.stored(settled(base.stored(units_of(now), "units"), grams, percent), "links")
         if more:
             sketches = known.select("signature", "n_shingles", "sketch").join(
                 later.select(F.col("sig").alias("signature")).distinct(), "signature", "left_semi"

@@ -152,3 +152,10 @@ def test_registered_query_equals_sql(spark):
 
     name = "op13_minhash_near_dedup"
     assert differences(queries.QUERIES[name](spark, SF_DIR), connect(SF_DIR), queries.ORACLE_SQL[name]) == []
+
+
+def test_units_are_settled_from_the_sets_alone(spark):
+    sets = [np.arange(i, i + 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in (0, 5, 1000)]
+    grams = spark.createDataFrame([(i, bytearray(np.sort(g).tobytes())) for i, g in enumerate(sets)], "sign long, grams binary")
+    units = spark.createDataFrame([(7, i, 200, i, None) for i in range(3)], "unit long, sig long, size long, label long, side int")
+    assert [tuple(r) for r in chosen_path.settled(units, grams, 80).collect()] == [(0, 1)]
